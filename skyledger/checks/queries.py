@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from skyledger.checks import landing
 from skyledger.functions import semantics as s
 from skyledger.operators.rolling import roll12
 from skyledger.plans import churn, destinations, families, gold, hubs, routes, silver
@@ -78,6 +79,18 @@ def _flown(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    # landing
+    "read_text_csv": landing.read_text_csv,
+    "decode_fallback": landing.decode_fallback,
+    "expand_archives": landing.expand_archives,
+    "load_replace_years": landing.load_replace_years,
+    "load_replace_scope": landing.load_replace_scope,
+    "load_append": landing.load_append,
+    "load_lookup": landing.load_lookup,
+    "batch_log": landing.batch_log,
+    "period_range": landing.period_range,
+    "refresh_all": landing.refresh_all,
+    "export_sorted": landing.export_sorted,
     # silver
     "typed_bronze": _typed_bronze,
     "rejected_periods": lambda spark, sf: silver.rejected_periods(d.bronze_segment(spark, sf)),

@@ -117,13 +117,13 @@ def _family_named(df: DataFrame) -> DataFrame:
     return df.withColumnsRenamed({"key": "family", "key_name": "family_name"})
 
 
-def airport_family_month_of(routes: DataFrame, families: DataFrame) -> DataFrame:
-    airports = _family_named(_airport_level(family_route_level(routes, families), "key", "key_name"))
+def airport_family_month_at(family_routes: DataFrame) -> DataFrame:
+    airports = _family_named(_airport_level(family_routes, "key", "key_name"))
     return _with_shares(airports, "family", "pct_of_family_system")
 
 
-def family_month_of(routes: DataFrame, families: DataFrame) -> DataFrame:
-    airports = _family_named(_airport_level(family_route_level(routes, families), "key", "key_name"))
+def family_month_at(family_routes: DataFrame) -> DataFrame:
+    airports = _family_named(_airport_level(family_routes, "key", "key_name"))
     return _system_level(airports, "family", "family_name")
 
 
@@ -143,8 +143,8 @@ def carrier_month(fact: DataFrame) -> DataFrame:
 
 
 def airport_family_month(fact: DataFrame, families: DataFrame) -> DataFrame:
-    return airport_family_month_of(route_level(fact), families)
+    return airport_family_month_at(family_route_level(route_level(fact), families))
 
 
 def family_month(fact: DataFrame, families: DataFrame) -> DataFrame:
-    return family_month_of(route_level(fact), families)
+    return family_month_at(family_route_level(route_level(fact), families))
