@@ -24,7 +24,7 @@ def _messy(name: str) -> str:
 
 
 def write_raw(
-    rows: DataFrame, path: str, header: bool = True, encoding: str = "UTF-8", one_file_per: str | None = None
+    rows: DataFrame, path: str, header: bool = True, encoding: str = "UTF-8", one_folder_per: str | None = None
 ) -> str:
     """CSV files with shouting headers, quoted commas and an empty last column."""
     out = rows.withColumnsRenamed({c: _messy(c) for c in rows.columns}) if header else rows
@@ -34,7 +34,7 @@ def write_raw(
         header=header, quote='"', escape='"', encoding=encoding, emptyValue="",
         ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
     )
-    (write.partitionBy(_messy(one_file_per)) if one_file_per else write).csv(path)
+    (write.partitionBy(_messy(one_folder_per)) if one_folder_per else write).csv(path)
     return path
 
 
@@ -60,14 +60,17 @@ def _landed(rows: DataFrame) -> DataFrame:
     )
 
 
+def _read_folder(spark: SparkSession, path: str) -> DataFrame:
+    (parts,) = files.list_units(spark, [path]).values()
+    return files.read_files(spark, files.inspect_files(spark, parts), tuple(SEGMENT_COLUMNS))
+
+
 def read_text_csv(spark: SparkSession, sf: str) -> DataFrame:
     """Headered CSV read without loading: names normalised, cells as text, missing columns NULL."""
     base = work_dir(spark, "raw")
     rows = d.bronze_segment(spark, sf)
     path = write_raw(rows.withColumnRenamed("_data_scope", "region"), f"{base}/all")
-    found = files.inspect_files(spark, files.list_files(spark, [path]))
-    read = files.read_files(spark, found, tuple(SEGMENT_COLUMNS))
-    return _landed(read.withColumn("_data_scope", F.col("region")))
+    return _landed(_read_folder(spark, path).withColumn("_data_scope", F.col("region")))
 
 
 def decode_fallback(spark: SparkSession, sf: str) -> DataFrame:
@@ -75,9 +78,7 @@ def decode_fallback(spark: SparkSession, sf: str) -> DataFrame:
     base = work_dir(spark, "raw")
     rows = d.bronze_segment(spark, sf).withColumn("origin_city_name", F.concat(F.lit("São "), "origin_city_name"))
     path = write_raw(rows.withColumnRenamed("_data_scope", "region"), f"{base}/latin", encoding="ISO-8859-1")
-    found = files.inspect_files(spark, files.list_files(spark, [path]))
-    read = files.read_files(spark, found, tuple(SEGMENT_COLUMNS))
-    return _landed(read.withColumn("_data_scope", F.col("region")))
+    return _landed(_read_folder(spark, path).withColumn("_data_scope", F.col("region")))
 
 
 def expand_archives(spark: SparkSession, sf: str) -> DataFrame:
@@ -105,14 +106,14 @@ def _load_both(spark: SparkSession, sf: str, root: str, mode: str, times: int =
 
 
 def load_replace_years(spark: SparkSession, sf: str) -> DataFrame:
-    """Both scopes loaded year file by year file, twice: the second run replaces the first."""
+    """Both scopes loaded as one folder per year, twice: the second run replaces the first."""
     root, base = work_dir(spark, "warehouse"), work_dir(spark, "raw")
     for scope in SCOPES:
         rows = _raw_scope(spark, sf, scope).withColumn("file_year", F.col("year"))
-        write_raw(rows.repartition("year"), f"{base}/{scope}", one_file_per="file_year")
+        write_raw(rows, f"{base}/{scope}", one_folder_per="file_year")
     for _ in range(2):
         for scope in SCOPES:
-            ingest.load(spark, root, f"{scope}_segment", f"{base}/{scope}/*/*.csv", "replace-years")
+            ingest.load(spark, root, f"{scope}_segment", f"{base}/{scope}/*=*", "replace-years")
     return _landed(ingest.read_bronze(spark, root, "segment"))
 
 

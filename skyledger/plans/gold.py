@@ -13,11 +13,10 @@ from pyspark.sql import functions as F
 
 from skyledger.functions.semantics import load_factor_pct, pct
 from skyledger.operators.family import with_key
+from skyledger.operators.grouping import sum_with_labels
 
-ROUTE_ATTRIBUTES = [
-    "origin_city", "origin_state", "origin_country", "origin_lat", "origin_lon",
-    "dest_city", "dest_country", "dest_lat", "dest_lon", "distance_miles",
-]
+ROUTE_LABELS = ["origin_city", "origin_state", "origin_country", "dest_city", "dest_country"]
+ROUTE_NUMBERS = ["origin_lat", "origin_lon", "dest_lat", "dest_lon", "distance_miles"]
 AIRPORT_ATTRIBUTES = {
     "origin_city": "city",
     "origin_state": "state",
@@ -34,30 +33,15 @@ def scheduled_passenger(fact: DataFrame) -> DataFrame:
 
 def route_level(fact: DataFrame) -> DataFrame:
     """One row per month, carrier and directed route, with every attribute a higher level needs."""
-    return (
-        scheduled_passenger(fact)
-        .groupBy("flight_month", "carrier", "origin", "dest")
-        .agg(
-            F.max("carrier_name").alias("carrier_name"),
-            *[F.max(c).alias(c) for c in ROUTE_ATTRIBUTES],
-            F.sum("departures_performed").alias("departures"),
-            F.sum("seats").alias("seats"),
-            F.sum("passengers").alias("passengers"),
-        )
-    )
+    rows = scheduled_passenger(fact).withColumn("departures", F.col("departures_performed"))
+    keys = ["flight_month", "carrier", "origin", "dest"]
+    return sum_with_labels(rows, keys, ["carrier_name", *ROUTE_LABELS], MEASURES, ROUTE_NUMBERS)
 
 
 def family_route_level(routes: DataFrame, families: DataFrame) -> DataFrame:
     """The route level re-keyed by family: several members of one family may fly one route."""
-    return (
-        with_key(routes, families)
-        .groupBy("flight_month", "key", "origin", "dest")
-        .agg(
-            F.max("key_name").alias("key_name"),
-            *[F.max(c).alias(c) for c in ROUTE_ATTRIBUTES],
-            *[F.sum(m).alias(m) for m in MEASURES],
-        )
-    )
+    keys = ["flight_month", "key", "origin", "dest"]
+    return sum_with_labels(with_key(routes, families), keys, ["key_name", *ROUTE_LABELS], MEASURES, ROUTE_NUMBERS)
 
 
 def _airport_level(routes: DataFrame, key: str, name: str) -> DataFrame:
@@ -71,14 +55,20 @@ def _airport_level(routes: DataFrame, key: str, name: str) -> DataFrame:
 
 def _with_shares(airports: DataFrame, key: str, system_share: str) -> DataFrame:
     """Share of the key's monthly system and of the airport's month, against summed denominators."""
-    system = F.sum("seats").over(Window.partitionBy("flight_month", key))
-    field = F.sum("seats").over(Window.partitionBy("flight_month", "airport"))
-    return airports.withColumns(
-        {
-            "load_factor_pct": load_factor_pct("passengers", "seats"),
-            system_share: pct(F.col("seats"), system, 2),
-            "pct_of_airport_seats": pct(F.col("seats"), field, 2),
-        }
+    totals = {
+        "_system": F.sum("seats").over(Window.partitionBy("flight_month", key)),
+        "_field": F.sum("seats").over(Window.partitionBy("flight_month", "airport")),
+    }
+    return (
+        airports.withColumns(totals)
+        .withColumns(
+            {
+                "load_factor_pct": load_factor_pct("passengers", "seats"),
+                system_share: pct("seats", "_system", 2),
+                "pct_of_airport_seats": pct("seats", "_field", 2),
+            }
+        )
+        .drop(*totals)
     )
 
 
