@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from skyledger.operators.family import family_frame
+from skyledger.operators.joins import broadcast_if_files_small, plan_bytes
 
 REF_YEAR = 2000
 
@@ -46,6 +47,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(_schemas[path]).parquet(path)
 
 
+def _spread(df: DataFrame, key: str) -> DataFrame:
+    """Spread a table too small to fill the cores by its file splits alone.
+
+    A single-row-group file is read by one task, which would then do all the work up to the next
+    shuffle. Tables of a full wave of splits or more are left to their splits: no extra shuffle.
+    """
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    split = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    return df.repartition(cores, key) if plan_bytes(df) < cores * split else df
+
+
 def families(spark: SparkSession) -> DataFrame:
     return family_frame(spark, STAND_IN_FAMILIES)
 
@@ -87,22 +100,21 @@ def places(spark: SparkSession, sf_dir: str, grain: str) -> DataFrame:
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items with brand, type and the two nation and region keys: only numbers travel through the big joins."""
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
+    orders, supplier = table(spark, sf_dir, "orders"), table(spark, sf_dir, "supplier")
     buyers = (
-        table(spark, sf_dir, "orders")
-        .join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+        orders.join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
         .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
         .select("o_orderkey", F.col("c_nationkey").alias("dest_nation"), F.col("n_regionkey").alias("dest_region"))
     )
     sellers = (
-        table(spark, sf_dir, "supplier")
-        .join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
+        supplier.join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
         .select("s_suppkey", F.col("s_nationkey").alias("origin_nation"), F.col("n_regionkey").alias("origin_region"))
     )
     parts = table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_type")
     return (
-        table(spark, sf_dir, "lineitem")
-        .join(buyers, F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(sellers, F.col("l_suppkey") == F.col("s_suppkey"))
+        _spread(table(spark, sf_dir, "lineitem"), "l_orderkey")
+        .join(broadcast_if_files_small(buyers, orders), F.col("l_orderkey") == F.col("o_orderkey"))
+        .join(broadcast_if_files_small(sellers, supplier), F.col("l_suppkey") == F.col("s_suppkey"))
         .join(parts, F.col("l_partkey") == F.col("p_partkey"))
         .withColumns(
             {
