@@ -11,11 +11,13 @@ def sum_with_labels(
 ) -> DataFrame:
     """``SUM`` of ``sums``, ``MAX`` of ``labels`` and ``maxima``, ``OR`` of ``flags`` per key.
 
-    MAX over text forces Spark to sort all of its input. Labels hardly vary inside a group, so
-    they first serve as extra grouping keys of a hash aggregation, and the sorted one sees only
-    what is left. Both steps combine on the map side before their shuffle.
+    One shuffle: each map task combines its own rows first, so a hot key arrives as one row per
+    task. Grouping by the labels first would let Spark hash instead of sort, but costs a second
+    shuffle and was slower on facts that hardly shrink.
     """
-    numbers = [F.sum(c).alias(c) for c in sums]
-    numbers += [F.max(c).alias(c) for c in maxima]
-    numbers += [F.bool_or(c).alias(c) for c in flags]
-    return df.groupBy(*keys, *labels).agg(*numbers).groupBy(*keys).agg(*[F.max(c).alias(c) for c in labels], *numbers)
+    return df.groupBy(*keys).agg(
+        *[F.max(c).alias(c) for c in labels],
+        *[F.sum(c).alias(c) for c in sums],
+        *[F.max(c).alias(c) for c in maxima],
+        *[F.bool_or(c).alias(c) for c in flags],
+    )

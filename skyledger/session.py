@@ -45,3 +45,9 @@ def work_dir(spark: SparkSession, purpose: str) -> str:
         shared = tempfile.mkdtemp(prefix="skyledger-")
         spark.conf.set("spark.checkpoint.dir", shared)
     return f"{shared.rstrip('/')}/{purpose}-{uuid.uuid4().hex[:12]}"
+
+
+def drop_work(spark: SparkSession, path: str) -> None:
+    """Remove a folder made by ``work_dir`` once nothing reads it any more."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
