@@ -94,3 +94,13 @@ def test_broadcast_only_below_the_bound(spark):
         return "ResolvedHint" in df._jdf.queryExecution().analyzed().toString()
 
     assert hinted(broadcast_if_small(spark.range(10), 10)) and not hinted(broadcast_if_small(spark.range(11), 10))
+
+
+def test_a_hot_key_is_combined_before_the_shuffle(spark):
+    rows_ = spark.range(0, 300_000, 1, 8).select(
+        F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id") % 50_000).alias("k"), F.lit("n").alias("name"), F.lit(1).alias("v")
+    )
+    out = sum_with_labels(rows_, ["k"], ["name"], ["v"])
+    assert rows(out.filter("k = -1"), "v") == [(100_000,)]
+    plan = out._jdf.queryExecution().sparkPlan().toString()
+    assert "partial_sum" in plan and "partial_max" in plan
