@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.llm import langid
+from skyledger.llm import decontaminate, langid, mixing
 from skyledger.llm.shared import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -25,3 +25,39 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = langid.held_out("doc_id", 3, 1)
     model = langid.train(docs.where(~out))
     return langid.identify(docs.select("doc_id", "text", out.alias("held_out")), model).drop("text")
+
+
+@query
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), "doc_id")
+    listed = F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256")
+    return out.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), listed, "contaminated")
+
+
+# Words that DuckDB cuts; the window length of an item is 13, or all its words.
+ORACLES["op2_decontaminate"] = r"""
+WITH w AS (SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM documents),
+b AS (SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM benchmark),
+iw AS (SELECT DISTINCT item_id, least(13, len(words)) AS n, words[pos:pos + least(13, len(words)) - 1] AS win
+    FROM (SELECT item_id, words, unnest(range(1, len(words) - least(13, len(words)) + 2)) AS pos FROM b WHERE len(words) > 0)),
+lens AS (SELECT DISTINCT n FROM iw),
+dw AS (SELECT doc_id, n, pos, words[pos:pos + n - 1] AS win
+    FROM (SELECT doc_id, words, n, unnest(range(1, len(words) - n + 2)) AS pos FROM w, lens WHERE len(words) >= n)),
+hit AS (SELECT doc_id, pos, dw.n, item_id FROM dw JOIN iw ON dw.n = iw.n AND dw.win = iw.win),
+covered AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(pos, pos + n)) AS p FROM hit) GROUP BY doc_id),
+named AS (SELECT doc_id, count(*) AS n_items, string_agg(i, ',' ORDER BY i) AS items
+    FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS i FROM hit) GROUP BY doc_id)
+SELECT w.doc_id, coalesce(len(words), 0) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+    sha256(coalesce(items, '')) AS items_sha256,
+    coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= coalesce(len(words), 0) AS contaminated
+FROM w LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id)
+"""
+
+
+@query
+def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    taken = (F.col("mix.size") * F.col("mix.times")).alias("taken")
+    return mixing.mix(docs).select("doc_id", "mix.size", "mix.source_size", "mix.target", taken)

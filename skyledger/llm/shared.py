@@ -62,14 +62,16 @@ def ranked(df: DataFrame, group: list[str], spread: Column, name: str, buckets:
     bucket, before = unused(df, "_bucket"), unused(df, "_before")
     df = df.withColumn(bucket, F.pmod(spread, F.lit(buckets)).cast("int"))
     counts = df.groupBy(*group, bucket).agg(F.count(F.lit(1)).alias("_n"))
+    other = {c: f"_of_{i}" for i, c in enumerate([*group, bucket])}
     offsets = counts.select(
-        *group, bucket, (F.sum("_n").over(W.partitionBy(*group).orderBy(bucket)) - F.col("_n")).alias(before)
+        *[F.col(c).alias(o) for c, o in other.items()],
+        (F.sum("_n").over(W.partitionBy(*group).orderBy(bucket)) - F.col("_n")).alias(before),
     )
-    inner = F.row_number().over(W.partitionBy(*group, bucket).orderBy(spread, *[c for c in df.columns if c not in {*group, bucket}][:3]))
-    left = df.withColumn(name, inner.cast("long") - 1)
-    same = [left[c].eqNullSafe(offsets[c]) for c in group] + [left[bucket] == offsets[bucket]]
-    keep = [left[c] for c in df.columns if c != bucket]
-    return left.join(offsets, on=same, how="inner").select(*keep, (left[name] + offsets[before]).alias(name))
+    rest = [c for c in df.columns if c not in other]
+    inner = F.row_number().over(W.partitionBy(*group, bucket).orderBy(spread, *rest[:3])).cast("long") - 1
+    same = [F.col(c).eqNullSafe(F.col(o)) for c, o in other.items()]
+    keep = [F.col(c) for c in df.columns if c != bucket]
+    return df.withColumn(name, inner).join(offsets, on=same, how="inner").select(*keep, (F.col(name) + F.col(before)).alias(name))
 
 
 def buckets_for(rows: int, per_bucket: int = 200_000) -> int:
