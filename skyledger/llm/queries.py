@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.llm import decontaminate, langid, mixing
+from skyledger.llm import decontaminate, langid, mixing, resharding
 from skyledger.llm.shared import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -61,3 +61,12 @@ def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     taken = (F.col("mix.size") * F.col("mix.times")).alias("taken")
     return mixing.mix(docs).select("doc_id", "mix.size", "mix.source_size", "mix.target", taken)
+
+
+@query
+def op6_reshard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = resharding.reshard(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return resharding.slotted(placed).select(
+        F.col("id").alias("doc_id"), "size", F.col("crc").alias("text_crc32"), F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"), F.col("old").alias("old_shard"),
+    )
