@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.llm import decontaminate, langid, mixing, resharding
+from skyledger.llm import decontaminate, langid, mixing, neardup, resharding
 from skyledger.llm.shared import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -70,3 +70,26 @@ def op6_reshard(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("id").alias("doc_id"), "size", F.col("crc").alias("text_crc32"), F.lit("bytes").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"), F.col("old").alias("old_shard"),
     )
+
+
+@query
+def op3_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = neardup.components_of(table(spark, sf_dir, "documents"), k=3, share=85)
+    return found.select(
+        F.col("id").alias("doc_id"), "n_shingles", "component_id", F.coalesce(F.col("id") == F.col("component_id"), F.lit(True)).alias("kept")
+    )
+
+
+ORACLES["op3_minhash_dedup"] = r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x20\x09-\x0D]+') AS words FROM documents),
+sh AS (SELECT DISTINCT doc_id, hash(words[pos:pos + 2]) AS s
+    FROM (SELECT doc_id, words, unnest(range(1, greatest(len(words) - 2, 1) + 1)) AS pos FROM w WHERE len(words) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+common AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS i FROM sh a JOIN sh b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+link AS (SELECT a, b FROM common JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * i >= 85 * (x.n + y.n - i)),
+reach AS (SELECT doc_id, doc_id AS r FROM w UNION SELECT reach.doc_id, b FROM reach JOIN link ON a = r),
+c AS (SELECT doc_id, min(r) AS component_id FROM reach GROUP BY doc_id)
+SELECT w.doc_id, coalesce(n, 0) AS n_shingles, component_id, w.doc_id = component_id AS kept
+FROM w LEFT JOIN n USING (doc_id) JOIN c USING (doc_id)
+"""
