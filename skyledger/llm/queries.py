@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.llm import decontaminate, langid, mixing, neardup, resharding
+from skyledger.llm import decontaminate, langid, mixing, neardup, resharding, substrings
 from skyledger.llm.shared import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -93,3 +93,21 @@ c AS (SELECT doc_id, min(r) AS component_id FROM reach GROUP BY doc_id)
 SELECT w.doc_id, coalesce(n, 0) AS n_shingles, component_id, w.doc_id = component_id AS kept
 FROM w LEFT JOIN n USING (doc_id) JOIN c USING (doc_id)
 """
+
+
+@query
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.removed(table(spark, sf_dir, "documents"), digest=True).withColumnRenamed("kept", "kept_sha256")
+
+
+ORACLES["op8_substring_dedup"] = r"""
+WITH w AS (SELECT doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS words FROM documents),
+win AS (SELECT doc_id, pos, words[pos:pos + 19] AS win FROM (SELECT doc_id, words, unnest(range(1, len(words) - 18)) AS pos FROM w)),
+later AS (SELECT doc_id, pos FROM (SELECT doc_id, pos, row_number() OVER (PARTITION BY win ORDER BY doc_id, pos) AS rn FROM win) WHERE rn > 1),
+gone AS (SELECT doc_id, list(DISTINCT p) AS gone FROM (SELECT doc_id, unnest(range(pos, pos + 20)) AS p FROM later) GROUP BY doc_id),
+kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS kept
+    FROM (SELECT w.doc_id, p, words[p] AS word, gone FROM (SELECT *, unnest(range(1, len(words) + 1)) AS p FROM w) w LEFT JOIN gone g ON g.doc_id = w.doc_id)
+    WHERE gone IS NULL OR NOT list_contains(gone, p) GROUP BY doc_id)
+SELECT w.doc_id, len(words) AS n_words, coalesce(len(gone), 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM w LEFT JOIN gone USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
