@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.llm import decontaminate, langid, mixing, neardup, resharding, substrings
+from skyledger.llm import decontaminate, langid, mixing, neardup, resharding, substrings, vectors
 from skyledger.llm.shared import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -111,3 +111,24 @@ kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS kept
 SELECT w.doc_id, len(words) AS n_words, coalesce(len(gone), 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
 FROM w LEFT JOIN gone USING (doc_id) LEFT JOIN kept USING (doc_id)
 """
+
+
+@query
+def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = vectors.near_vectors(table(spark, sf_dir, "embeddings"))
+    kept = F.coalesce(F.col("id") == F.col("component_id"), F.lit(True)).alias("kept")
+    return found.select(F.col("id").alias("vec_id"), "n_links", "component_id", kept)
+
+
+ORACLES["op7_embedding_dedup"] = """
+WITH RECURSIVE sound AS (SELECT vec_id FROM (SELECT vec_id, unnest(embedding) AS x FROM embeddings WHERE label IS NOT NULL)
+    GROUP BY vec_id HAVING bool_and(x IS NOT NULL AND isfinite(x)) AND bool_or(x <> 0)),
+v AS (SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings WHERE vec_id IN (SELECT vec_id FROM sound)),
+link AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
+    AND len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.93),
+n AS (SELECT a AS vec_id, count(*) AS n_links FROM link GROUP BY a),
+reach AS (SELECT vec_id, vec_id AS r FROM embeddings UNION SELECT reach.vec_id, b FROM reach JOIN link ON a = r),
+c AS (SELECT vec_id, min(r) AS component_id FROM reach GROUP BY vec_id)
+SELECT e.vec_id, coalesce(n_links, 0) AS n_links, component_id, e.vec_id = component_id AS kept
+FROM embeddings e LEFT JOIN n USING (vec_id) JOIN c USING (vec_id)
+"""
