@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.llm import decontaminate, langid, mixing, neardup, resharding, substrings, vectors
+from skyledger.llm import decontaminate, langid, lm, mixing, neardup, resharding, substrings, vectors
 from skyledger.llm.shared import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -132,3 +132,10 @@ c AS (SELECT vec_id, min(r) AS component_id FROM reach GROUP BY vec_id)
 SELECT e.vec_id, coalesce(n_links, 0) AS n_links, component_id, e.vec_id = component_id AS kept
 FROM embeddings e LEFT JOIN n USING (vec_id) JOIN c USING (vec_id)
 """
+
+
+@query
+def op4_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = langid.held_out("doc_id", 7, 2)
+    return lm.scored(docs, docs.where(~out)).withColumn("held_out", out)
