@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.llm import decontaminate, langid, lm, mixing, neardup, resharding, substrings, vectors
+from skyledger.llm import decontaminate, langid, lm, mixing, neardup, pseudonyms, resharding, secret_scan, substrings, vectors
 from skyledger.llm.shared import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -139,3 +139,17 @@ def op4_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     out = langid.held_out("doc_id", 7, 2)
     return lm.scored(docs, docs.where(~out)).withColumn("held_out", out)
+
+
+@query
+def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.secrets(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.withColumnRenamed("id", "doc_id")
+
+
+@query
+def op10_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The key is spark.skyledger.pseudonymKey; the query's own is for tests and checks."""
+    key = spark.conf.get("spark.skyledger.pseudonymKey", "not a secret")
+    out = pseudonyms.pseudonymised(table(spark, sf_dir, "documents").select("doc_id", "text"), key)
+    return out.select("doc_id", "text", *[F.col(f"found.{k}").alias(f"n_{k}") for k in pseudonyms.KINDS])
