@@ -3,9 +3,9 @@
 A document is its set of word shingles. Equal sets are collapsed first (their digests are grouped, combined before the
 shuffle). Each distinct set has ``HASHES`` MinHash values of 16 bits; tree t of ``TREES`` sorts all sets by the values
 from ``t * STEP`` on, cyclically, ``DEPTH`` of them. In a sorted order the sets with the longest common prefix are
-neighbours: each set is paired with the next ``NEAR`` ones that share at least ``SHALLOW`` values. Where few sets
-share a prefix the pairs reach down to ``SHALLOW`` values; where many do, the nearest ones share more, so that depth adapts
-to each region and a region costs ``NEAR`` pairs a set however many sets it holds. Orders are made by range partitions of
+neighbours: each set is paired with the next ones that share at least ``SHALLOW`` values. Where few sets share such a prefix
+all of them are paired; the more there are, the fewer next ones (``NEAR`` down to ``LEAST``), which in that order are those
+that share most values: so depth adapts to each region, and a set has a bounded number of pairs however large its region. Orders are made by range partitions of
 unique keys, so no region lands in one task; neighbours across partitions meet in small boundary groups.
 
 Pairs are filtered by set sizes (exact) and by agreement of the sorted values (a pair at the threshold fails it less than
@@ -34,7 +34,8 @@ from skyledger.llm.shared import bitmap, settled, unused, within
 from skyledger.llm.texts import SPACES, U, Words, blocks, mixed, rolling
 
 HASHES, TREES, STEP, DEPTH = 64, 16, 4, 24
-SHALLOW, AGREE, NEAR = 4, 11, 12
+SHALLOW, AGREE = 4, 11
+NEAR, LEAST, DENSE = 12, 2, 96
 _DRAW = np.random.Generator(np.random.PCG64(99)).integers(1, 1 << 63, size=(2, HASHES), dtype=np.uint64)
 
 
@@ -113,8 +114,12 @@ def _pairs(table: pa.Table, share: int) -> dict[str, np.ndarray]:
     keys = np.frombuffer(b"".join(table["key"].to_pylist()), ">u2").reshape(m, DEPTH)
     tree, ids, n = (table[c].to_numpy() for c in ("tree", "id", "n"))
     out: list[tuple[np.ndarray, np.ndarray]] = []
+    new = np.ones(m, bool)
+    new[1:] = (tree[1:] != tree[:-1]) | (keys[1:, :SHALLOW] != keys[:-1, :SHALLOW]).any(axis=1)
+    first = np.flatnonzero(new)
+    reach = np.clip(DENSE // np.diff(np.append(first, m)), LEAST, NEAR)[np.cumsum(new) - 1]
     for j in range(1, min(NEAR, m - 1) + 1):
-        same = np.flatnonzero((tree[:-j] == tree[j:]) & (ids[:-j] != ids[j:]) & (keys[:-j, 0] == keys[j:, 0]))
+        same = np.flatnonzero((reach[:-j] >= j) & (tree[:-j] == tree[j:]) & (ids[:-j] != ids[j:]) & (keys[:-j, 0] == keys[j:, 0]))
         equal = keys[same] == keys[same + j]
         small, large = np.minimum(n[same], n[same + j]), np.maximum(n[same], n[same + j])
         same = same[equal[:, :SHALLOW].all(axis=1) & (equal.sum(axis=1) >= AGREE) & (100 * small >= share * large)]
