@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from skyledger.llm import decontaminate, langid, lm, mixing, neardup, pseudonyms, resharding, secret_scan, substrings, vectors
 from skyledger.llm.shared import table
 
@@ -153,3 +154,12 @@ def op10_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = spark.conf.get("spark.skyledger.pseudonymKey", "not a secret")
     out = pseudonyms.pseudonymised(table(spark, sf_dir, "documents").select("doc_id", "text"), key)
     return out.select("doc_id", "text", *[F.col(f"found.{k}").alias(f"n_{k}") for k in pseudonyms.KINDS])
+
+
+@query
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
+
+
+if corpus_pipeline.ORACLE_SQL:
+    ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
