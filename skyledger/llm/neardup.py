@@ -10,9 +10,11 @@ unique keys, so no region lands in one task; neighbours across partitions meet i
 
 Pairs are filtered by set sizes (exact) and by agreement of the sorted values (a pair at the threshold fails it less than
 once in a million), and confirmed on full sets. First each set meets the smallest id of its group of candidates;
-pairs inside the components so confirmed are settled, and the rest of the pairs are confirmed one by one. A pair
-of similarity 0.85 is missed by all trees with probability 7e-6; links beyond the nearest neighbours of a very dense region
-are replaced by chains through them.
+pairs inside the components so confirmed are settled, and the rest of the pairs are confirmed one by one. Groups that fell
+into several components are sorted again by ``TREES`` other orders, and pairs across their components tried,
+until such a round confirms no new link; each round is linear in the sets left. A pair of similarity 0.85 in a region
+that is not dense is missed by all trees with probability 7e-6; in a dense one it matters only as the sole link of two
+components, and is then missed only if every round before the last found another link and none found it.
 
 Defined cases: null, empty and wordless texts have no shingles and link with nothing; a text of fewer words than a shingle is
 one shingle; rows that share an id are one document; a null id is linked with nothing, its component is null and it is
@@ -95,31 +97,40 @@ def signatures(docs: DataFrame, doc_id: str, text: str, k: int) -> DataFrame:
     return rows.mapInArrow(sign, "id bigint, n bigint, d1 bigint, d2 bigint, sig binary")
 
 
-def _planted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A set's key in every tree."""
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        sig = np.frombuffer(b"".join(batch.column("sig").to_pylist()), np.uint8).reshape(batch.num_rows, HASHES, 2)
-        for t in range(TREES):
-            key = np.roll(sig, -t * STEP, axis=1)[:, :DEPTH].reshape(batch.num_rows, -1)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(batch.num_rows, t, np.int32)), _binary(key), batch.column("id"), batch.column("n")], ["tree", "key", "id", "n"]
-            )
+#: Columns of a sorted row: tree, key in its order, id, set size, component so far.
+_ROW = {"tree": pa.int32(), "key": pa.binary(), "id": pa.int64(), "n": pa.int64(), "of": pa.int64()}
+_ROW_DDL = "tree int, key binary, id bigint, n bigint, of bigint"
 
 
-def _pairs(table: pa.Table, share: int) -> dict[str, np.ndarray]:
-    """Pairs of a sorted run of trees: each row with the next ``NEAR`` that share its prefix."""
+def _planted(turn: int):
+    """A set's key in every tree of a round; round 0 takes the values as they come, others shuffle them."""
+
+    def plant(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        order = np.random.default_rng(turn).permutation(HASHES) if turn else np.arange(HASHES)
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            sig = np.frombuffer(b"".join(batch.column("sig").to_pylist()), np.uint8).reshape(batch.num_rows, HASHES, 2)[:, order]
+            for t in range(TREES):
+                key = np.roll(sig, -t * STEP, axis=1)[:, :DEPTH].reshape(batch.num_rows, -1)
+                rest = [batch.column(c) for c in ("id", "n", "of")]
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(batch.num_rows, t, np.int32)), _binary(key), *rest], list(_ROW))
+
+    return plant
+
+
+def _pairs(table: pa.Table, share: int, dense: int) -> dict[str, np.ndarray]:
+    """Pairs of a sorted run of trees: each row with the next ones that share its prefix and are of another component."""
     m = table.num_rows
     keys = np.frombuffer(b"".join(table["key"].to_pylist()), ">u2").reshape(m, DEPTH)
-    tree, ids, n = (table[c].to_numpy() for c in ("tree", "id", "n"))
+    tree, ids, n, of = (table[c].to_numpy() for c in ("tree", "id", "n", "of"))
     out: list[tuple[np.ndarray, np.ndarray]] = []
     new = np.ones(m, bool)
     new[1:] = (tree[1:] != tree[:-1]) | (keys[1:, :SHALLOW] != keys[:-1, :SHALLOW]).any(axis=1)
     first = np.flatnonzero(new)
-    reach = np.clip(DENSE // np.diff(np.append(first, m)), LEAST, NEAR)[np.cumsum(new) - 1]
+    reach = np.clip(dense // np.diff(np.append(first, m)), LEAST, NEAR)[np.cumsum(new) - 1]
     for j in range(1, min(NEAR, m - 1) + 1):
-        same = np.flatnonzero((reach[:-j] >= j) & (tree[:-j] == tree[j:]) & (ids[:-j] != ids[j:]) & (keys[:-j, 0] == keys[j:, 0]))
+        same = np.flatnonzero((reach[:-j] >= j) & (tree[:-j] == tree[j:]) & (of[:-j] != of[j:]) & (keys[:-j, 0] == keys[j:, 0]))
         equal = keys[same] == keys[same + j]
         small, large = np.minimum(n[same], n[same + j]), np.maximum(n[same], n[same + j])
         same = same[equal[:, :SHALLOW].all(axis=1) & (equal.sum(axis=1) >= AGREE) & (100 * small >= share * large)]
@@ -128,16 +139,20 @@ def _pairs(table: pa.Table, share: int) -> dict[str, np.ndarray]:
     return {"a": np.minimum(a, b), "b": np.maximum(a, b)}
 
 
-def candidates(classes: DataFrame, share: int) -> DataFrame:
-    """Distinct (a, b) of ``classes`` (id, n, sig) that neighbour in some tree."""
+def candidates(classes: DataFrame, share: int, turn: int = 0) -> DataFrame:
+    """Distinct (a, b) of ``classes`` (id, n, sig, of) that neighbour in some tree of a round and differ in ``of``.
+
+    After the first round every region takes ``NEAR`` neighbours: what is left is little.
+    """
+    dense = DENSE if turn == 0 else 1 << 40
     count = classes.count() * TREES
     spread = int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     parts = max(1, count // 200_000, min(spread, count // 2_000))
     order = ["tree", "key", "id"]
-    planted = classes.select("id", "n", "sig").mapInArrow(_planted, "tree int, key binary, id bigint, n bigint")
+    planted = classes.select("id", "n", "sig", "of").mapInArrow(_planted(turn), _ROW_DDL)
     runs = planted.repartitionByRange(parts, *order).sortWithinPartitions(*order)
-    kind = "a bigint, b bigint, edge int, tree int, key binary, id bigint, n bigint"
-    fields = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("edge", pa.int32()), ("tree", pa.int32()), ("key", pa.binary()), ("id", pa.int64()), ("n", pa.int64())])
+    kind = f"a bigint, b bigint, edge int, {_ROW_DDL}"
+    fields = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("edge", pa.int32()), *_ROW.items()])
 
     def shaped(rows: int, **columns) -> pa.RecordBatch:
         arrays = [pa.array(columns[f.name], f.type) if isinstance(columns.get(f.name), np.ndarray) else columns[f.name] if f.name in columns else pa.nulls(rows, f.type) for f in fields]
@@ -145,7 +160,7 @@ def candidates(classes: DataFrame, share: int) -> DataFrame:
 
     def edge(rows: pa.Table, at: int) -> Iterator[pa.RecordBatch]:
         for batch in rows.combine_chunks().to_batches():
-            yield shaped(batch.num_rows, edge=np.full(batch.num_rows, at, np.int32), **{c: batch.column(c) for c in ("tree", "key", "id", "n")})
+            yield shaped(batch.num_rows, edge=np.full(batch.num_rows, at, np.int32), **{c: batch.column(c) for c in _ROW})
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, tail, seen = TaskContext.get().partitionId(), None, set()
@@ -157,7 +172,7 @@ def candidates(classes: DataFrame, share: int) -> DataFrame:
             if head is None or head.num_rows < NEAR:
                 head = now.slice(0, NEAR) if head is None else pa.concat_tables([head, now]).slice(0, NEAR)
             run = now if tail is None else pa.concat_tables([tail, now])
-            found = _pairs(run, share)
+            found = _pairs(run, share, dense)
             # A pair met in one batch's tail may come again; the distinct below removes it.
             pairs = np.unique(np.stack([found["a"], found["b"]], axis=1), axis=0)
             yield shaped(len(pairs), a=np.ascontiguousarray(pairs[:, 0]), b=np.ascontiguousarray(pairs[:, 1]))
@@ -168,7 +183,7 @@ def candidates(classes: DataFrame, share: int) -> DataFrame:
 
     def join_edge(rows: pa.Table) -> pa.Table:
         rows = rows.sort_by([("tree", "ascending"), ("key", "ascending"), ("id", "ascending")])
-        return pa.table(_pairs(rows, share), schema=pa.schema([("a", pa.int64()), ("b", pa.int64())]))
+        return pa.table(_pairs(rows, share, dense), schema=pa.schema([("a", pa.int64()), ("b", pa.int64())]))
 
     walked = settled(runs.mapInArrow(walk, kind))
     met = walked.where("edge IS NOT NULL").groupBy("edge").applyInArrow(lambda t: join_edge(t), "a bigint, b bigint")
@@ -206,7 +221,7 @@ def components_of(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text"
     signed = settled(signatures(docs, doc_id, text, k))
     members = signed.where("n > 0 AND id IS NOT NULL")
     classes = settled(members.groupBy("d1", "d2", "n").agg(F.min("id").alias("id"), F.first("sig").alias("sig")))
-    pairs = settled(candidates(classes, share))
+    pairs = settled(candidates(classes.withColumn("of", F.col("id")), share))
     groups = components(pairs)
     wanted = settled(groups.select("id"))
     sets = settled(sets_of(docs, doc_id, text, k, wanted))
@@ -218,9 +233,18 @@ def components_of(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text"
         pairs.join(side("a"), "a", "left").join(side("b"), "b", "left")
         .where(F.coalesce("of_a", "a") != F.coalesce("of_b", "b")).select("a", "b")
     )
-    late = settled(confirmed(open_pairs, sets, share))
-    if not late.isEmpty():
-        of = settled(components(links.unionByName(late)))
+    late, turn = settled(confirmed(open_pairs, sets, share)), 0
+    while True:
+        if not late.isEmpty():
+            links = settled(links.unionByName(late))
+            of = settled(components(links))
+        elif turn:
+            break
+        turn += 1
+        state = groups.withColumnRenamed("component", "g").join(of, "id", "left").select("id", "g", F.coalesce("component", "id").alias("of"))
+        split = state.groupBy("g").agg(F.min("of").alias("low"), F.max("of").alias("high")).where("low <> high").select("g")
+        left = settled(classes.join(state.join(split, "g", "left_semi").select("id", "of"), "id"))
+        late = settled(confirmed(candidates(left, share, turn), sets, share))
     named = classes.join(of, "id", "left").select("d1", "d2", "n", F.coalesce("component", "id").alias("component"))
     return signed.join(named, ["d1", "d2", "n"], "left").select(
         "id", F.col("n").alias("n_shingles"), F.when(F.col("id").isNotNull(), F.coalesce("component", "id")).alias("component_id")
