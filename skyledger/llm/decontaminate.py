@@ -127,7 +127,7 @@ def report(docs: DataFrame, items: DataFrame, key: str, *, text: str = "text", i
     id_column = unused(docs, "_row")
     numbered = docs.select(F.col(key), F.col(text), F.monotonically_increasing_id().alias(id_column))
     if freq is None:
-        rarest = places.select("words", "n", "shingle", "inset").limit(0)
+        rarest = places.select("words", "n", "shingle", F.col("inset").alias("offset")).limit(0)
     else:
         # A window with a shingle that no document has cannot occur.
         rarest = settled(
