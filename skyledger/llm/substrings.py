@@ -102,23 +102,30 @@ def _later(h1: np.ndarray, h2: np.ndarray, ids: np.ndarray, pos: np.ndarray) ->
 
 
 def repeats(rows: DataFrame, window: int = WINDOW) -> DataFrame:
-    """(id, tag, start): the windows of (id, tag, text) rows whose words also start earlier."""
+    """(id, tag, start, run): runs of windows of (id, tag, text) rows whose words also start earlier."""
     done: list[tuple[int, np.ndarray]] = []
     alive = 0
     for n in levels(window):
         bits, alive = _repeated(rows, window, n, done)
         done = [*done, (n, bits)]
     shared = rows.sparkSession.sparkContext.broadcast(done)
-    names = ["part", "h1", "h2", "id", "pos", "later"]
+    names = ["h1", "h2", "id", "pos", "run"]
 
     def sent(held: list[tuple]) -> pa.RecordBatch:
         h1, h2, ids, pos = (np.concatenate([x[k] for x in held]) for k in range(4))
         first, later = _later(h1, h2, ids, pos)
-        order = np.concatenate([first, later])
-        late = np.arange(len(order)) >= len(first)
-        # Marked copies need no partner: they are dealt by document.
-        part = np.where(late, ids[order] ^ pos[order], h1[order].view(np.int64))
-        columns = [part, h1[order].view(np.int64), h2[order].view(np.int64), ids[order], pos[order], late]
+        # Copies met here are marked at once, consecutive windows as one run; they need no partner and no fingerprint.
+        i, p = ids[later], pos[later]
+        order = np.lexsort((p, i))
+        i, p = i[order], p[order]
+        begins = np.flatnonzero(np.append(True, (i[1:] != i[:-1]) | (p[1:] != p[:-1] + 1))[: len(i)])
+        runs = np.diff(np.append(begins, len(i)))
+        none = np.zeros(len(begins), U)
+        columns = [
+            np.concatenate([h1[first], none]).view(np.int64), np.concatenate([h2[first], none]).view(np.int64),
+            np.concatenate([ids[first], i[begins]]), np.concatenate([pos[first], p[begins]]),
+            np.concatenate([np.zeros(len(first), np.int64), runs]).astype(np.int32),
+        ]
         return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names)
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -143,30 +150,32 @@ def repeats(rows: DataFrame, window: int = WINDOW) -> DataFrame:
         table = pa.Table.from_batches(list(batches)) if (batches := list(batches)) else None
         if table is None or not table.num_rows:
             return
-        h1, h2, ids, pos, late = (table[c].to_numpy() for c in names[1:])
-        one = np.flatnonzero(~late)
+        h1, h2, ids, pos, run = (table[c].to_numpy() for c in names)
+        one = np.flatnonzero(run == 0)
         _, later = _later(h1[one], h2[one], ids[one], pos[one])
-        out = np.concatenate([np.flatnonzero(late), one[later]])
+        out = np.concatenate([np.flatnonzero(run), one[later]])
         for a in range(0, len(out), 1 << 17):
             some = out[a : a + (1 << 17)]
-            yield pa.RecordBatch.from_arrays([pa.array(ids[some]), pa.array(pos[some] >> 32), pa.array(pos[some] & _START)], ["id", "tag", "start"])
+            columns = [ids[some], pos[some] >> 32, (pos[some] & _START).astype(np.int32), np.maximum(run[some], 1)]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["id", "tag", "start", "run"])
 
     tasks = max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-alive // PER_TASK))
-    windows = rows.mapInArrow(emit, "part bigint, h1 bigint, h2 bigint, id bigint, pos bigint, later boolean")
-    return windows.repartition(tasks, "part").mapInArrow(settle, "id bigint, tag bigint, start bigint")
+    windows = rows.mapInArrow(emit, "h1 bigint, h2 bigint, id bigint, pos bigint, run int")
+    dealt = windows.repartition(tasks, F.when(F.col("run") == 0, F.col("h1")).otherwise(F.col("id")))
+    return dealt.mapInArrow(settle, "id bigint, tag bigint, start int, run int")
 
 
-def _covered(starts, words: int, window: int) -> np.ndarray:
+def _covered(starts: np.ndarray, runs: np.ndarray, words: int, window: int) -> np.ndarray:
     edge = np.zeros(words + 1, np.int64)
-    np.add.at(edge, np.asarray(starts, np.int64), 1)
-    np.add.at(edge, np.minimum(np.asarray(starts, np.int64) + window, words), -1)
+    np.add.at(edge, starts, 1)
+    np.add.at(edge, np.minimum(starts + runs - 1 + window, words), -1)
     return np.cumsum(edge)[:words] > 0
 
 
 def removed(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", window: int = WINDOW, digest: bool = False) -> DataFrame:
     """(doc_id, n_words, n_removed, kept) of every row: kept words joined by one space, or their SHA-256 with ``digest``."""
     rows = _keyed(docs, doc_id, text)
-    marks = settled(repeats(rows.select("id", "tag", "text"), window).groupBy("id", "tag").agg(F.collect_list("start").alias("starts")))
+    marks = settled(repeats(rows.select("id", "tag", "text"), window).groupBy("id", "tag").agg(F.collect_list(F.struct("start", "run")).alias("starts")))
     shared = docs.sparkSession.sparkContext.broadcast(bitmap(marks, "id", BITS))
     # ``kept`` is final where no mark can exist; else it carries the text to the marks.
     say = (lambda b: hashlib.sha256(b).hexdigest()) if digest else (lambda b: b.decode())
@@ -198,7 +207,7 @@ def removed(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", wind
                     continue
                 words = t.encode().split()
                 if starts.is_valid:
-                    lost = _covered(starts.values.to_numpy(), len(words), window)
+                    lost = _covered(*(starts.values.field(k).to_numpy().astype(np.int64) for k in (0, 1)), len(words), window)
                     words, n = [x for x, out in zip(words, lost) if not out], int(lost.sum())
                 else:
                     n = 0
