@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# \z, not $: Java's $ also matches before a final newline.
+# The cell formats that the raw files use. \z, not $: Java's $ also matches before a final newline.
 NUMERIC = r"^-?[0-9]+\.?[0-9]*\z"
 IATA = r"^[A-Z0-9]{3}\z"
 YEAR = r"^[0-9]{4}\z"
@@ -30,6 +30,17 @@ def to_num(c: Column | str, to: T.DecimalType = MEASURE) -> Column:
     return F.when(c.rlike(NUMERIC), c.try_cast(to))
 
 
+def is_number(c: Column | str) -> Column:
+    return F.coalesce(_col(c).rlike(NUMERIC), F.lit(False))
+
+
+def fits(c: Column | str, to: T.DecimalType = MEASURE) -> Column:
+    """Whether the exact type holds a number's text: its integer part, and no digit of its fraction lost."""
+    c = _col(c)
+    fraction = F.regexp_replace(F.regexp_extract(c, r"\.([0-9]*)\z", 1), "0+\\z", "")
+    return c.try_cast(to).isNotNull() & (F.length(fraction) <= to.scale)
+
+
 def to_bigint(c: Column | str) -> Column:
     """Exact number to long, halves away from zero (a bare cast would truncate)."""
     return F.round(_col(c), 0).cast("bigint")
@@ -43,11 +54,6 @@ def blank_to_null(c: Column | str) -> Column:
     return F.nullif(_col(c), F.lit(""))
 
 
-def country_or(name: Column | str, fallback: Column | str) -> Column:
-    """The file's own country when it has one, else the geography's."""
-    return F.coalesce(blank_to_null(name), _col(fallback))
-
-
 def valid_iata(c: Column | str) -> Column:
     c = _col(c)
     return (c != F.lit("\\N")) & c.rlike(IATA)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from skyledger.operators.family import family_frame
-from skyledger.operators.joins import broadcast_if_files_small, plan_bytes
+from skyledger.operators.joins import broadcast_if_files_small
 
 REF_YEAR = 2000
 
@@ -47,18 +47,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(_schemas[path]).parquet(path)
 
 
-def _spread(df: DataFrame, key: str) -> DataFrame:
-    """Spread a table too small to fill the cores by its file splits alone.
-
-    A single-row-group file is read by one task, which would then do all the work up to the next
-    shuffle. Tables of a full wave of splits or more are left to their splits: no extra shuffle.
-    """
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    split = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
-    return df.repartition(cores, key) if plan_bytes(df) < cores * split else df
-
-
 def families(spark: SparkSession) -> DataFrame:
     return family_frame(spark, STAND_IN_FAMILIES)
 
@@ -112,7 +100,7 @@ def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     parts = table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_type")
     return (
-        _spread(table(spark, sf_dir, "lineitem"), "l_orderkey")
+        table(spark, sf_dir, "lineitem")
         .join(broadcast_if_files_small(buyers, orders), F.col("l_orderkey") == F.col("o_orderkey"))
         .join(broadcast_if_files_small(sellers, supplier), F.col("l_suppkey") == F.col("s_suppkey"))
         .join(parts, F.col("l_partkey") == F.col("p_partkey"))

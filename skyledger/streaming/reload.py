@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession
 
 from skyledger.sources.ingest import load
@@ -22,11 +24,12 @@ def reload_new_files(
         .schema(FILE_SCHEMA)
         .option("maxFilesPerTrigger", files_per_batch)
         .load(drop_dir)
-        .select("path")
+        .select("path", "modificationTime")
     )
 
     def land(batch: DataFrame, _: int) -> None:
-        paths = [r.path for r in batch.collect()]
+        # In the order of arrival, so that a corrected file replaces the one before it, whatever their names.
+        paths = [unquote(r.path) for r in batch.orderBy("modificationTime", "path").collect()]
         if paths:
             load(batch.sparkSession, root, source, paths, mode, keep_going=True)
 
