@@ -13,7 +13,7 @@ from skyledger.plans import refresh
 from skyledger.session import work_dir
 from skyledger.sources import driver_tables as d
 from skyledger.sources import files, ingest
-from skyledger.sources.schemas import SEGMENT_COLUMNS
+from skyledger.sources.schemas import MARKET_COLUMNS, SEGMENT_COLUMNS
 
 SCOPES = ("domestic", "international")
 
@@ -48,15 +48,24 @@ def _raw_files(spark: SparkSession, sf: str) -> dict[str, str]:
     return {scope: write_raw(_raw_scope(spark, sf, scope), f"{base}/{scope}") for scope in SCOPES}
 
 
+# The columns that the test tables fill; the table's others must come back empty.
+FILLED = [
+    "departures_scheduled", "departures_performed", "payload", "seats", "passengers", "freight", "mail", "distance", "ramp_to_ramp", "air_time",
+    "unique_carrier", "unique_carrier_name", "origin", "origin_city_name", "origin_state_abr", "origin_country_name", "dest", "dest_city_name",
+    "dest_state_abr", "dest_country_name", "aircraft_type", "month", "class",
+]
+
+
 def _landed(rows: DataFrame) -> DataFrame:
-    chars = {"seats": "seats_chars", "origin_city_name": "city_chars", "passengers": "passengers_chars"}
+    """Per scope and year: rows, and per column the cells that are there, their characters, the first and the last."""
+    cells = [
+        x
+        for c in FILLED
+        for x in (F.count(c).alias(f"{c}_cells"), F.sum(F.length(c)).alias(f"{c}_chars"), F.min(c).alias(f"{c}_first"), F.max(c).alias(f"{c}_last"))
+    ]
+    rest = [F.count(c) for c in SEGMENT_COLUMNS if c not in (*FILLED, "year", "carrier", "region")]
     return rows.groupBy("_data_scope", "year").agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.count("seats").alias("seats_cells"),
-        *[F.sum(F.length(c)).alias(a) for c, a in chars.items()],
-        F.count("origin_state_abr").alias("states"),
-        F.min("month").alias("first_month"),
-        F.max("origin_city_name").alias("last_city"),
+        F.count(F.lit(1)).alias("rows"), *cells, sum(rest[1:], rest[0]).alias("other_cells"), F.count_if(F.col("carrier") == F.col("unique_carrier")).alias("carriers")
     )
 
 
@@ -155,6 +164,10 @@ def _warehouse(spark: SparkSession, sf: str) -> str:
     """Raw files of every kind landed and the whole warehouse rebuilt from them."""
     root, base = work_dir(spark, "warehouse"), work_dir(spark, "raw")
     _load_both(spark, sf, root, "replace-scope")
+    for scope in SCOPES:
+        demand = _raw_scope(spark, sf, scope)
+        demand = demand.select(*[c for c in demand.columns if c in MARKET_COLUMNS])
+        ingest.load(spark, root, f"{scope}_market", write_raw(demand, f"{base}/market-{scope}"), "replace-scope")
     airports = write_raw(d.bronze_airports(spark, sf), f"{base}/airports", header=False)
     ingest.load(spark, root, "airports", airports, "replace-scope")
     for source, rows in (("l_aircraft_type", d.lookup_aircraft(spark, sf)), ("l_service_class", d.lookup_class(spark))):
@@ -165,7 +178,17 @@ def _warehouse(spark: SparkSession, sf: str) -> str:
 
 def refresh_all(spark: SparkSession, sf: str) -> DataFrame:
     """Files -> bronze -> silver -> gold; returns the airport x family table read back."""
-    return spark.read.parquet(ingest.table_path(_warehouse(spark, sf), "gold", "airport_family_month"))
+    return refresh.read_table(spark, _warehouse(spark, sf), "gold.airport_family_month")
+
+
+def refresh_market(spark: SparkSession, sf: str) -> DataFrame:
+    """The demand fact that the same refresh serves."""
+    return refresh.read_table(spark, _warehouse(spark, sf), "silver.fact_market")
+
+
+def rejected_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """What the refresh wrote down of all that the facts leave out."""
+    return refresh.read_table(spark, _warehouse(spark, sf), "meta.rejected_rows")
 
 
 def export_sorted(spark: SparkSession, sf: str) -> DataFrame:

@@ -90,6 +90,8 @@ QUERIES: dict[str, Query] = {
     "batch_log": landing.batch_log,
     "period_range": landing.period_range,
     "refresh_all": landing.refresh_all,
+    "refresh_market": landing.refresh_market,
+    "rejected_rows": landing.rejected_rows,
     "export_sorted": landing.export_sorted,
     # silver
     "typed_bronze": _typed_bronze,
@@ -154,12 +156,16 @@ QUERIES: dict[str, Query] = {
     "airport_picker": lambda spark, sf: destinations.airport_picker(_rcm(spark, sf)),
     "dest_picker": lambda spark, sf: destinations.airport_picker(_rcm(spark, sf), given_origin=True),
     "carrier_picker": lambda spark, sf: destinations.carrier_picker(_rcm(spark, sf)),
+    "route_carrier_picker": lambda spark, sf: destinations.carrier_picker(_rcm(spark, sf), ("origin", "dest")),
     "destinations": lambda spark, sf: destinations.destinations(_rcm(spark, sf)),
     "destinations_headline": lambda spark, sf: destinations.destinations_headline(
         destinations.select_routes(_rcm(spark, sf), "1998-01-01", "2001-06-01")
     ),
     "top_destinations": lambda spark, sf: destinations.top_destinations(_rcm(spark, sf)),
     "top_destinations_by_carrier": lambda spark, sf: destinations.top_destinations_by_carrier(_rcm(spark, sf)),
+    "top_destinations_picked_carriers": lambda spark, sf: destinations.top_destinations_by_carrier(
+        _rcm(spark, sf), carriers=["Brand#11", "Brand#12", "Brand#13", "Brand#25", "Brand#31"]
+    ),
     "destination_trend": lambda spark, sf: destinations.destination_trend(_rcm(spark, sf)),
     "qualifying_routes": lambda spark, sf: destinations.qualifying_routes(_rcm(spark, sf, "coarse"), "International"),
     "route_performers": lambda spark, sf: destinations.route_performers(_rcm(spark, sf, "coarse")),

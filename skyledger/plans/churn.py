@@ -25,12 +25,12 @@ PAIR = ["family", "a", "b"]
 
 def _pairs(routes: DataFrame, families: DataFrame | None) -> DataFrame:
     """Undirected pairs without self-loops, keyed by family."""
-    return (
-        with_key(routes, families)
-        .withColumnRenamed("key", "family")
-        .filter(F.col("origin") != F.col("dest"))
-        .withColumns({"a": F.least("origin", "dest"), "b": F.greatest("origin", "dest")})
-    )
+    return _undirected(with_key(routes, families).withColumnRenamed("key", "family"))
+
+
+def _undirected(keyed: DataFrame) -> DataFrame:
+    ends = {"a": F.least("origin", "dest"), "b": F.greatest("origin", "dest")}
+    return keyed.filter(F.col("origin") != F.col("dest")).withColumns(ends)
 
 
 def service_gaps(routes: DataFrame, families: DataFrame | None, floor: float = 500) -> DataFrame:
@@ -93,11 +93,11 @@ def churn_long(churn: DataFrame, start_year: int | None = None, end_year: int |
 def pair_periods(routes: DataFrame, families: DataFrame | None, as_of=None) -> DataFrame:
     """Per family and pair: cities, months, seats, passengers and operators of the last two years.
 
-    Months are kept as bits (at most twelve per period), so two directions and several operators
+    The family's last month is that of all its rows, self-loops included. Months are kept as bits (at most twelve per period), so two directions and several operators
     of a pair can be merged in any order without a distinct count.
     """
-    keyed = with_latest(_pairs(routes, families), ["family"], as_of)
-    years = with_period(keyed)
+    keyed = with_latest(with_key(routes, families).withColumnRenamed("key", "family"), ["family"], as_of)
+    years = with_period(_undirected(keyed))
     forward = F.col("origin") < F.col("dest")
     rows = years.withColumns(
         {

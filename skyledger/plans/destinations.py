@@ -22,17 +22,22 @@ def select_routes(routes: DataFrame, start=None, end=None, carriers: list[str] |
     return rows if carriers is None else rows.filter(F.col("carrier").isin(carriers))
 
 
+def _ranked(rows: DataFrame, per: list[str], *ties: str) -> DataFrame:
+    order = Window.partitionBy(*per).orderBy(F.desc_nulls_last("seats"), *ties) if per else None
+    return rows.withColumn("rank", F.row_number().over(order))
+
+
 def airport_picker(routes: DataFrame, given_origin: bool = False) -> DataFrame:
-    """Origins with their city and total seats, or with ``given_origin`` the dests of every origin."""
+    """Origins with their city and total seats, or with ``given_origin`` the dests of every origin by rank."""
     keys, city = (["origin", "dest"], "dest_city") if given_origin else (["origin"], "origin_city")
-    return routes.groupBy(*keys).agg(F.max(city).alias("city"), F.sum("seats").alias("seats"))
+    picked = routes.groupBy(*keys).agg(F.max(city).alias("city"), F.sum("seats").alias("seats"))
+    return _ranked(picked, ["origin"], "dest") if given_origin else picked
 
 
-def carrier_picker(routes: DataFrame) -> DataFrame:
-    """Carriers of every origin with total seats, one row per code."""
-    return routes.groupBy("origin", "carrier").agg(
-        F.max("carrier_name").alias("carrier_name"), F.sum("seats").alias("seats")
-    )
+def carrier_picker(routes: DataFrame, per: tuple[str, ...] = ("origin",)) -> DataFrame:
+    """Carriers of every origin (or of every route, with ``per`` origin and dest) by rank of their seats."""
+    picked = routes.groupBy(*per, "carrier").agg(F.max("carrier_name").alias("carrier_name"), F.sum("seats").alias("seats"))
+    return _ranked(picked, list(per), "carrier")
 
 
 def destinations(selected: DataFrame) -> DataFrame:
@@ -87,12 +92,19 @@ def top_destinations(selected: DataFrame, n: int = 15) -> DataFrame:
     return top_k(totals, ["origin"], "seats", ["dest"], n)
 
 
-def top_destinations_by_carrier(selected: DataFrame, n_dest: int = 15, n_carrier: int = 10) -> DataFrame:
-    """Seats of each origin's top dests split by its top carriers' names, the rest as "Other"."""
-    base = selected.groupBy("origin", "dest", "carrier", "carrier_name").agg(F.sum("seats").alias("seats"))
+def top_destinations_by_carrier(
+    window: DataFrame, n_dest: int = 15, n_carrier: int = 10, carriers: list[str] | None = None
+) -> DataFrame:
+    """Seats of each origin's top dests split by its top carriers' names, the rest as "Other".
+
+    ``window`` has all carriers of the months looked at: the named ones are the largest among all of them, also
+    when only the picked ``carriers`` are shown.
+    """
+    every = window.groupBy("origin", "dest", "carrier", "carrier_name").agg(F.sum("seats").alias("seats"))
+    base = every if carriers is None else every.filter(F.col("carrier").isin(carriers))
     top = top_destinations(base, n_dest).select("origin", "dest")
     per_carrier = (
-        base.filter(F.col("carrier_name").isNotNull())
+        every.filter(F.col("carrier_name").isNotNull())
         .groupBy("origin", "carrier", "carrier_name")
         .agg(F.sum("seats").alias("seats"))
     )

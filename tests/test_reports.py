@@ -127,3 +127,14 @@ def test_members_trend_starts_at_the_twelfth_month(spark):
     fam = family_frame(spark, [("A", "F", "Eff", None, "")])
     cm = spark.createDataFrame([("A", "Aye", month(n), 2_000_000) for n in range(13)], "carrier string, carrier_name string, flight_month date, seats bigint")
     assert rows(families.family_members_trend(cm, fam), "flight_month", "seats_millions") == [(month(11), 2.0), (month(12), 2.0)]
+
+
+def test_the_last_month_of_a_family_counts_self_loops(spark):
+    data = [route(n, "A", "X", "Y", 900) for n in (4, 5)] + [route(17, "A", "X", "X", 10)]
+    assert rows(churn.recent_moves(routes(spark, data), None), "move", "a", "b") == [("ended", "X", "Y")]
+
+
+def test_named_carriers_come_from_all_carriers(spark):
+    data = [route(0, f"C{i:02d}", "X", "Y", 100 - i) for i in range(12)]
+    out = destinations.top_destinations_by_carrier(routes(spark, data), carriers=["C01", "C11"])
+    assert rows(out, "carrier_name", "seats") == [("C01 Air", 99), ("Other", 89)]
