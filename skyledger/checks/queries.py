@@ -11,6 +11,7 @@ from skyledger.checks import landing
 from skyledger.functions import semantics as s
 from skyledger.operators.rolling import roll12
 from skyledger.plans import churn, destinations, families, gold, hubs, routes, silver
+from skyledger.session import work_dir
 from skyledger.sources import driver_tables as d
 from skyledger.sources.driver_tables import REF_YEAR
 
@@ -46,6 +47,13 @@ def _monthly(spark: SparkSession, sf: str) -> DataFrame:
     return routes.route_monthly(_rcm(spark, sf), d.families(spark))
 
 
+def _stored(df: DataFrame) -> DataFrame:
+    """A gold frame as reports meet it: written once to the shared work folder, read as often as they need."""
+    path = work_dir(df.sparkSession, "gold")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def _typed_bronze(spark: SparkSession, sf: str) -> DataFrame:
     return (
         d.bronze_segment(spark, sf)
@@ -115,6 +123,7 @@ QUERIES: dict[str, Query] = {
     "airport_family_month": _afm,
     "latest_month": _latest_month,
     "served_months": lambda spark, sf: hubs.served_months(_cm(spark, sf)),
+    "served_months_by_airport": lambda spark, sf: hubs.served_months(_acm(spark, sf), ["carrier", "airport"]),
     "roll12": lambda spark, sf: _rounded(
         roll12(_cm(spark, sf), ["carrier"], "seats", "load_factor_pct").select(
             "flight_month", "carrier", "seats", "seats_12m", "load_factor_pct_12m"
@@ -127,23 +136,24 @@ QUERIES: dict[str, Query] = {
     "route_either_direction": lambda spark, sf: _rcm(spark, sf)
     .filter(s.either_direction("N03", "N11"))
     .select("flight_month", "carrier", "origin", "dest", "seats", "passengers"),
-    "route_headline": lambda spark, sf: routes.route_headline(_monthly(spark, sf)),
+    "route_headline": lambda spark, sf: routes.route_headline(_stored(_monthly(spark, sf))),
     "route_load_factor": lambda spark, sf: _rounded(routes.route_load_factor(_monthly(spark, sf), True), "load_factor_12m"),
     "route_capacity_demand": lambda spark, sf: routes.route_capacity_demand(_monthly(spark, sf), True),
     "share_gap": lambda spark, sf: routes.share_gap(_monthly(spark, sf)),
     # hubs
     "top_carriers": lambda spark, sf: hubs.top_carriers(_cm(spark, sf), REF_YEAR, 8),
     "top_families": lambda spark, sf: hubs.top_carriers(_fm(spark, sf), REF_YEAR, 12, "family", "family_name"),
-    "majors_trend": lambda spark, sf: hubs.majors_trend(_cm(spark, sf), REF_YEAR, 8),
+    "majors_trend": lambda spark, sf: hubs.majors_trend(_stored(_cm(spark, sf)), REF_YEAR, 8),
     "top_hubs": lambda spark, sf: hubs.top_hubs(_acm(spark, sf), REF_YEAR, 6),
     "hub_trend": lambda spark, sf: _rounded(
         hubs.hub_trend(
-            _afm(spark, sf), REF_YEAR, 6, "family", "pct_of_family_system", start="1997-01-01", end="2000-12-01"
+            _stored(_afm(spark, sf)), REF_YEAR, 6, "family", "pct_of_family_system", start="1997-01-01", end="2000-12-01"
         ),
         "system_share_12m",
         "airport_share_12m",
     ),
-    "spokes": lambda spark, sf: hubs.spokes(_rcm(spark, sf), d.families(spark)),
+    "hub_trend_carriers": lambda spark, sf: hubs.hub_trend(_stored(_acm(spark, sf)), REF_YEAR, 3, smooth=False),
+    "spokes": lambda spark, sf: hubs.spokes(_stored(_rcm(spark, sf)), d.families(spark)),
     "spokes_of_month": lambda spark, sf: hubs.spokes(_rcm(spark, sf), month=f"{REF_YEAR}-07-01"),
     "fortress_pairs": lambda spark, sf: _rounded(
         hubs.fortress_pairs(
@@ -162,9 +172,9 @@ QUERIES: dict[str, Query] = {
         destinations.select_routes(_rcm(spark, sf), "1998-01-01", "2001-06-01")
     ),
     "top_destinations": lambda spark, sf: destinations.top_destinations(_rcm(spark, sf)),
-    "top_destinations_by_carrier": lambda spark, sf: destinations.top_destinations_by_carrier(_rcm(spark, sf)),
+    "top_destinations_by_carrier": lambda spark, sf: destinations.top_destinations_by_carrier(_stored(_rcm(spark, sf))),
     "top_destinations_picked_carriers": lambda spark, sf: destinations.top_destinations_by_carrier(
-        _rcm(spark, sf), carriers=["Brand#11", "Brand#12", "Brand#13", "Brand#25", "Brand#31"]
+        _stored(_rcm(spark, sf)), carriers=["Brand#11", "Brand#12", "Brand#13", "Brand#25", "Brand#31"]
     ),
     "destination_trend": lambda spark, sf: destinations.destination_trend(_rcm(spark, sf)),
     "qualifying_routes": lambda spark, sf: destinations.qualifying_routes(_rcm(spark, sf, "coarse"), "International"),
@@ -172,22 +182,23 @@ QUERIES: dict[str, Query] = {
     "route_performers_domestic": lambda spark, sf: destinations.route_performers(
         _rcm(spark, sf, "coarse"), "Domestic", 4500, 10
     ),
-    "yoy_momentum": lambda spark, sf: destinations.yoy_momentum(_rcm(spark, sf, "coarse")),
-    "changed_routes": lambda spark, sf: destinations.changed_routes(_rcm(spark, sf), floor=0),
-    "new_dropped_routes": lambda spark, sf: destinations.new_dropped_routes(_rcm(spark, sf)),
+    "yoy_momentum": lambda spark, sf: destinations.yoy_momentum(_stored(_rcm(spark, sf, "coarse"))),
+    "changed_routes": lambda spark, sf: destinations.changed_routes(_stored(_rcm(spark, sf)), floor=0),
+    "new_dropped_routes": lambda spark, sf: destinations.new_dropped_routes(_stored(_rcm(spark, sf))),
     # families
-    "family_summary": lambda spark, sf: families.family_summary(d.families(spark), _fm(spark, sf)),
+    "family_summary": lambda spark, sf: families.family_summary(d.families(spark), _stored(_fm(spark, sf))),
     "merger_timeline": lambda spark, sf: families.merger_timeline(_flown(spark, sf)),
     "merger_markers": lambda spark, sf: families.merger_markers(_flown(spark, sf), "1996-01-01", "2000-12-01"),
+    "merger_members_flown": lambda spark, sf: families.members_flown(d.families(spark), _cm(spark, sf)),
     "family_members_trend": lambda spark, sf: families.family_members_trend(_cm(spark, sf), d.families(spark)),
     "family_network_trend": lambda spark, sf: families.family_network_trend(_fm(spark, sf)),
-    "family_headline": lambda spark, sf: families.family_headline(_fm(spark, sf), _cm(spark, sf), d.families(spark)),
+    "family_headline": lambda spark, sf: families.family_headline(_stored(_fm(spark, sf)), _stored(_cm(spark, sf)), d.families(spark)),
     # churn
     "service_gaps": lambda spark, sf: churn.service_gaps(_rcm(spark, sf), d.families(spark)),
-    "route_churn": lambda spark, sf: churn.route_churn(_rcm(spark, sf), d.families(spark)),
+    "route_churn": lambda spark, sf: churn.route_churn(_stored(_rcm(spark, sf)), d.families(spark)),
     "churn_long": lambda spark, sf: churn.churn_long(
-        churn.route_churn(_rcm(spark, sf), d.families(spark), floor=0), 1997, 2000
+        churn.route_churn(_stored(_rcm(spark, sf)), d.families(spark), floor=0), 1997, 2000
     ),
-    "pair_periods": lambda spark, sf: churn.pair_periods(_rcm(spark, sf), d.families(spark)),
-    "recent_moves": lambda spark, sf: churn.recent_moves(_rcm(spark, sf), d.families(spark)),
+    "pair_periods": lambda spark, sf: churn.pair_periods(_stored(_rcm(spark, sf)), d.families(spark)),
+    "recent_moves": lambda spark, sf: churn.recent_moves(_stored(_rcm(spark, sf)), d.families(spark)),
 }

@@ -29,6 +29,14 @@ def merger_timeline(families: DataFrame) -> DataFrame:
     )
 
 
+def members_flown(families: DataFrame, carrier_month: DataFrame) -> DataFrame:
+    """The merger timeline next to the traffic: first and last month and seats of every member code, if it ever flew."""
+    flown = carrier_month.groupBy("carrier").agg(
+        F.min("flight_month").alias("first_month"), F.max("flight_month").alias("last_month"), F.sum("seats").alias("seats")
+    )
+    return merger_timeline(families).join(flown, "carrier", "left")
+
+
 def merger_markers(families: DataFrame, start=None, end=None) -> DataFrame:
     """One marker per family and merger month inside the window, naming the codes that merged."""
     return (

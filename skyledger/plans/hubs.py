@@ -96,5 +96,6 @@ def dehub(airports: DataFrame, codes: list[str]) -> DataFrame:
     return roll12(series, ["airport"], "seats")
 
 
-def served_months(system: DataFrame) -> DataFrame:
-    return system.select("flight_month").distinct()
+def served_months(system: DataFrame, per: list[str] | None = None) -> DataFrame:
+    """Months with any service, over all rows or for every key."""
+    return system.select(*(per or []), "flight_month").distinct()
