@@ -38,6 +38,8 @@ def _matrix(column: pa.ChunkedArray) -> np.ndarray:
 def _index(table: pa.Table) -> pa.Table:
     table = table.sort_by("id")
     raw = _matrix(table["vector"])
+    # Scaled by powers of two, which no cosine feels, so that squares of very large or small parts neither overflow nor vanish.
+    raw = np.ldexp(raw, -np.frexp(np.abs(raw).max(axis=1))[1][:, None])
     unit = (raw / np.linalg.norm(raw, axis=1, keepdims=True)).astype(np.float32)
     graph = Graph(unit)
     layers = [x.tobytes() for x in graph.layers]

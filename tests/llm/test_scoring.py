@@ -218,6 +218,12 @@ def test_vectors_equal_brute_force(spark, shard):
     assert [(r.n_links, r.component_id) for r in got if r.id is None] == [(0, None)]
 
 
+def test_very_large_and_small_parts(spark):
+    rows = [(1, [1e300, 1e300], 1), (2, [1e-300, 1e-300], 1), (3, [1.0, -1.0], 1)]
+    got = vectors.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()
+    assert {r.id: (r.n_links, r.component_id) for r in got} == {1: (1, 1), 2: (1, 1), 3: (0, 3)}
+
+
 def test_no_vectors(spark):
     assert vectors.near_vectors(spark.createDataFrame([], "vec_id long, embedding array<float>, label int")).count() == 0
 
