@@ -181,9 +181,10 @@ def _calibrate(model: Model, texts: list[str], labels: np.ndarray, reject_share:
     fits = [(-np.log(_softmax(z / t)[at] + 1e-9).mean(), t) for t in np.geomspace(0.01, 10, 80)]
     model.temperature = float(min(fits)[1])
     top = np.sort(_softmax(z[::2] / model.temperature).max(axis=1))
-    # Rank rule of conformal prediction: with few texts to calibrate on, nothing is rejected by score.
-    k = int(np.floor(reject_share * (len(top) + 1)))
-    model.threshold = float(top[k - 1]) if k else float(min(top[0], 1 / len(model.languages) + 0.05))
+    # Rank rule of conformal prediction. With too few texts for it the threshold lies halfway between chance and the least
+    # certain of them, and not far above chance: a text in none of the languages scores about chance.
+    k, chance = int(np.floor(reject_share * (len(top) + 1))), 1 / len(model.languages)
+    model.threshold = float(top[k - 1]) if k else float(min((chance + top[0]) / 2, chance + 0.2))
 
 
 def train(labelled: DataFrame, *, text: str = "text", lang: str = "lang", per_language: int = 900) -> Model:

@@ -1,3 +1,5 @@
+import random
+
 import edges
 import pytest
 
@@ -28,6 +30,15 @@ def test_held_out_accuracy(spark):
     assert sum(r.rejected for r in got) <= 0.01 * len(got)
 
 
+def test_texts_in_no_known_language_are_rejected(spark):
+    model = langid.train(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"))
+    r = random.Random(1)
+    noise = [" ".join("".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(r.randint(2, 9))) for _ in range(150)) for _ in range(10)]
+    strange = "Привет как дела сегодня хорошая погода и мы идем гулять в парк вместе с друзьями"
+    got = langid.identify(spark.createDataFrame([(t,) for t in [*noise, strange]], "text string"), model).collect()
+    assert sum(g.rejected for g in got) >= 10
+
+
 def test_prediction_reads_the_whole_text(spark, model):
     one = "the dog said this to the cat "
     other = "die katze und der hund sind im haus "
