@@ -119,20 +119,24 @@ def _spans(texts: list[str], rng: np.random.Generator) -> list[str]:
     return out
 
 
-def _features(texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
-    """For each text its distinct (order, bucket) rows and their shares."""
-    out = []
-    for t in texts:
-        body = _FOLD[np.frombuffer(t.encode("utf-8", "ignore"), np.uint8)] if t else np.empty(0, np.uint8)
-        if not len(body):
-            out.append((np.empty(0, int), np.empty(0)))
-            continue
-        spots = _grams(body, np.array([0, len(body)]))
-        flat = np.concatenate([s.astype(np.int64) + k * (BUCKETS + 1) for k, s in enumerate(spots)])
-        keep = flat % (BUCKETS + 1) != BUCKETS
-        ids, counts = np.unique(flat[keep], return_counts=True)
-        out.append((ids, counts / (len(ORDERS) * len(body))))
-    return out
+def _features(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct (order, bucket) rows of each text and their shares, all in two arrays, and where each text's begin.
+
+    The arrays are as long as all n-grams but only touched as far as they are filled, and go back to the system at once.
+    """
+    bodies = [_FOLD[np.frombuffer(t.encode("utf-8", "ignore"), np.uint8)] if t else np.empty(0, np.uint8) for t in texts]
+    room = len(ORDERS) * sum(map(len, bodies))
+    rows, shares, edges = np.empty(room, np.int32), np.empty(room, np.float32), [0]
+    for body in bodies:
+        at = edges[-1]
+        if len(body):
+            spots = _grams(body, np.array([0, len(body)]))
+            flat = np.concatenate([s[s != BUCKETS] + k * (BUCKETS + 1) for k, s in enumerate(spots)])
+            ids, counts = np.unique(flat, return_counts=True)
+            rows[at : at + len(ids)], shares[at : at + len(ids)] = ids, counts / (len(ORDERS) * len(body))
+            at += len(ids)
+        edges.append(at)
+    return rows, shares, np.array(edges)
 
 
 def fit(texts: list[str], langs: list[str], *, epochs: int = 6, rate: float = 20.0, reject_share: float = 0.001, seed: int = 7) -> Model:
@@ -146,13 +150,13 @@ def fit(texts: list[str], langs: list[str], *, epochs: int = 6, rate: float = 20
     held = np.arange(len(texts)) % 5 == 4
     train = [t for t, h in zip(texts, held) if not h]
     labels = np.repeat([index[x] for x, h in zip(langs, held) if not h], 2)
-    rows = _features(_spans(train, rng))
-    emb = rng.normal(0, 0.3, (len(ORDERS) * (BUCKETS + 1), DIM))
-    soft, bias = rng.normal(0, 0.3, (DIM, c)), np.zeros(c)
-    steps, step = epochs * len(rows), 0
+    rows, shares, edges = _features(_spans(train, rng))
+    emb = rng.standard_normal((len(ORDERS) * (BUCKETS + 1), DIM), np.float32) * np.float32(0.3)
+    soft, bias = rng.normal(0, 0.3, (DIM, c)).astype(np.float32), np.zeros(c)
+    steps, step = epochs * len(labels), 0
     for _ in range(epochs):
-        for i in rng.permutation(len(rows)):
-            ids, share = rows[i]
+        for i in rng.permutation(len(labels)):
+            ids, share = rows[edges[i] : edges[i + 1]], shares[edges[i] : edges[i + 1]]
             lr = rate * (1 - step / steps)
             step += 1
             if not len(ids):
@@ -160,10 +164,10 @@ def fit(texts: list[str], langs: list[str], *, epochs: int = 6, rate: float = 20
             mean = share @ emb[ids]
             p = _softmax((mean @ soft + bias)[None])[0]
             p[labels[i]] -= 1
-            back = soft @ p
-            soft -= 0.005 * lr * np.outer(mean, p)
+            back = (soft @ p).astype(np.float32)
+            soft -= (0.005 * lr * np.outer(mean, p)).astype(np.float32)
             bias -= 0.0005 * lr * p
-            emb[ids] -= lr * share[:, None] * back
+            emb[ids] -= np.float32(lr) * share[:, None] * back
     table = (emb @ soft).reshape(len(ORDERS), BUCKETS + 1, c).astype(np.float32)
     table[:, BUCKETS] = 0
     model = Model(languages, table, bias)
