@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skyledger.llm.shared import settled
+from skyledger.llm.shared import released, settled
 
 
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -23,6 +23,7 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     seen = None
     while True:
         edges = settled(_small(_large(edges)).distinct())
+        released(edges.sparkSession)
         # Settled once every node hangs on a root: then no node is both a child and a parent.
         now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == seen:

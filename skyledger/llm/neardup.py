@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skyledger.llm.components import components
-from skyledger.llm.shared import bitmap, settled, unused, within
+from skyledger.llm.shared import bitmap, released, settled, unused, within
 from skyledger.llm.texts import SPACES, U, Words, blocks, mixed, rolling
 
 HASHES, TREES, STEP, DEPTH = 64, 16, 4, 24
@@ -245,6 +245,7 @@ def components_of(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text"
         split = state.groupBy("g").agg(F.min("of").alias("low"), F.max("of").alias("high")).where("low <> high").select("g")
         left = settled(classes.join(state.join(split, "g", "left_semi").select("id", "of"), "id"))
         late = settled(confirmed(candidates(left, share, turn), sets, share))
+        released(docs.sparkSession)
     named = classes.join(of, "id", "left").select("d1", "d2", "n", F.coalesce("component", "id").alias("component"))
     return signed.join(named, ["d1", "d2", "n"], "left").select(
         "id", F.col("n").alias("n_shingles"), F.when(F.col("id").isNotNull(), F.coalesce("component", "id")).alias("component_id")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,6 +23,16 @@ def settled(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def released(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files and checkpoints of frames that nothing refers to any more.
+
+    It does so when the driver collects garbage; between the steps of an iterative job that has to be asked for, else
+    they stay on disk until the driver's heap happens to fill.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def unused(df: DataFrame, wish: str) -> str:
     """A column name that the frame does not have, in any case."""
     taken = {c.lower() for c in df.columns}
