@@ -171,3 +171,19 @@ def test_contaminated_documents_go(spark):
     assert decontaminate.decontaminate(docs, none).count() == docs.count()
     assert decontaminate.decontaminate(edges.no_documents(spark), items).count() == 0
     assert decontaminate.report(edges.no_documents(spark), items, "doc_id").count() == 0
+
+
+def test_sole_link_of_two_dense_clusters(spark):
+    """Only the two originals are similar enough; the nearest neighbours of either are its own copies."""
+    r = random.Random(5)
+    first = [f"a{i}" for i in range(198)]
+    originals = [first, [*first[:176], *(f"b{i}" for i in range(22))]]
+    rows = [(500 + n, " ".join(w)) for n, w in enumerate(originals)]
+    for n in range(240):
+        w = list(originals[n % 2])
+        w[r.randrange(170)] = f"new{n}"
+        rows.append((n, " ".join(w)))
+    want = linked(rows, 1, 80)
+    assert len(set(want.values())) == 1 and len(set(linked(rows[1:], 1, 80).values())) == 2
+    got = neardup.components_of(spark.createDataFrame(rows, "doc_id long, text string"), k=1, share=80).collect()
+    assert {r.id: r.component_id for r in got} == want
