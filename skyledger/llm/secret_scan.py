@@ -1,6 +1,8 @@
 """Secret scanning with a random forest that removes false positives; DataFrame functions only.
 
-Candidates are runs of at least ``SHORTEST`` key characters. A text is split at its candidates once, which gives each one's
+Candidates are runs of at least ``SHORTEST`` key characters and, of any length and alphabet, whatever is assigned to a telling
+name (``NAME=value``, ``name: "a value"``, ``?name=value``): up to the closing quote, else up to a space, quote, ``<`` or the next
+``&name=``, without signs that end a clause. A text is split at its candidates once, which gives each one's
 place and its neighbourhood. Features: length, character classes and transitions between them, entropy, share covered by
 dictionary words (the ``DICTIONARY`` commonest words of all documents), whether it stands in a path or address, and the
 words and signs beside it. A forest is trained on labelled findings and scores every candidate.
@@ -31,7 +33,12 @@ TREES, DEPTH, SEED = 24, 6, 7
 # Names that secrets are assigned to, and words that stand beside harmless identifiers.
 NAMES = "token|secret|passw|pwd|credential|api.?key|access.?key|private.?key|auth|bearer"
 HARMLESS = "commit|sha1|sha256|md5|checksum|digest|uuid|revision|example|sample|dummy|placeholder"
-_RUN = "(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{%d,}+={0,2}+" % SHORTEST
+_SIGN = r"(?:=>|:=|==|[=:])"
+# The short lookbehind spares the long one at most places.
+_AFTER = r"(?<=[=:>]\s{0,3}[\"'`]?)(?<=(?i:%s)[\w.-]{0,30}[\"'`]?\s{0,3}%s\s{0,3}[\"'`]?)" % (NAMES, _SIGN)
+_QUOTED = "|".join(f"(?<={q})[^{q}\\n]++(?={q})" for q in "\"'`")
+_BARE = r"(?:[^\s\"'`<=>&,;.)\]}]++|(?<=[^\s=:>\"'`])[=>]|[,;.)\]}](?![,;.)\]}]*+(?:[\s\"'`<]|$))|&(?![\w.-]+=))++"
+_RUN = "(?:%s(?:%s|%s)|(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{%d,}+={0,2}+)" % (_AFTER, _QUOTED, _BARE, SHORTEST)
 FEATURES = [
     "length", "digits", "uppers", "hex", "distinct", "entropy", "class_changes", "vowel_changes",
     "covered", "slashes", "in_path", "named", "harmless", "assigned", "quoted",
@@ -57,7 +64,11 @@ def findings(docs: DataFrame, words: list[str], *, doc_id: str = "doc_id", text:
     each = runs.select("id", "found", "rest", F.posexplode("found").alias("at", "secret"))
     before = F.aggregate(F.slice("rest", 1, F.col("at") + 1), F.lit(0), lambda n, x: n + F.length(x))
     inside = F.aggregate(F.slice("found", 1, F.col("at")), F.lit(0), lambda n, x: n + F.length(x))
-    left = F.lower(F.substring(F.element_at("rest", F.col("at") + 1), -NEAR, NEAR))
+    between = F.element_at("rest", F.col("at") + 1)
+    # A name long enough to be a candidate itself belongs to what is assigned to it.
+    name = F.when(F.col("at") > 0, F.concat(F.element_at("found", F.greatest(F.col("at"), F.lit(1))), between))
+    names_it = between.rlike(rf"^[\"'`]?\s*{_SIGN}?\s*[\"'`]?$") & name.rlike(rf"{_SIGN}\s*[\"'`]?$")
+    left = F.lower(F.substring(F.when(names_it, name).otherwise(between), -NEAR, NEAR))
     right = F.substring(F.element_at("rest", F.col("at") + 2), 1, 8)
     placed = each.select("id", "secret", (before + inside).cast("long").alias("start"), left.alias("left"), right.alias("right"))
     chars = F.split(F.col("secret"), "")
@@ -74,7 +85,7 @@ def findings(docs: DataFrame, words: list[str], *, doc_id: str = "doc_id", text:
         (F.regexp_count("secret", F.lit("[A-Za-z](?=[0-9])|[0-9](?=[A-Za-z])|[a-z](?=[A-Z])")) / n).alias("class_changes"),
         (F.regexp_count(F.lower("secret"), F.lit("[aeiou](?=[b-df-hj-np-tv-z])|[b-df-hj-np-tv-z](?=[aeiou])")) / n).alias("vowel_changes"),
         covered.alias("covered"), F.regexp_count("secret", F.lit("/")).cast("double").alias("slashes"),
-        flag(F.col("left").rlike(r"(?:[/\\.@]|://\S*)$") | F.col("right").rlike(r"^(?:[/\\@]|\.[A-Za-z])")).alias("in_path"),
+        flag(F.col("left").rlike(r"(?:[/\\.@]|://[^\s?#]*)$") | F.col("right").rlike(r"^(?:[/\\@]|\.[A-Za-z])")).alias("in_path"),
         flag(F.col("left").rlike(f"(?:{NAMES})")).alias("named"), flag(F.col("left").rlike(f"(?:{HARMLESS})")).alias("harmless"),
         flag(F.col("left").rlike(r"(?:=|:|=>)\s*[\"'`]?$")).alias("assigned"), flag(F.col("left").rlike("[\"'`]$") & F.col("right").rlike("^[\"'`]")).alias("quoted"),
     )

@@ -128,3 +128,24 @@ def test_scan_edges(spark):
     assert secret_scan.secrets(edges.documents(spark)).count() == 0
     one = spark.createDataFrame([(None, f'token = "{SECRET}"', 1, 2.0)], "doc_id long, text string, start int, score double")
     assert [(r.id, r.start, r.score) for r in secret_scan.secrets(one).collect()] == [(None, 9, 1.0)]
+
+
+@pytest.mark.parametrize(
+    "before, secret, after",
+    [
+        ("API_KEY=", "abcdef0123456789ABCDEF", ""),
+        ("run --token=", "abcdef0123456789ABCDEF", " now"),
+        ("see https://h/x?token=", "abcdef0123456789ABCDEF", "&page=2"),
+        ("export AWS_SECRET_ACCESS_KEY=", "wJalrXUtnFEMI/K7MDENG/bPxRfiCYzzz9", "\nPORT=1"),
+        ("DB_PASSWORD=", "hunt3r", "\n"),
+        ("password: ", "p%r9&x!", ", as before"),
+        ('{"password": "', "a 1b, c2", '"}'),
+        ("auth_token='", "eyJ0.eyJ1.c2ln==", "'"),
+    ],
+)
+def test_assigned_values_are_found(spark, before, secret, after):
+    docs = documents(spark).unionByName(spark.createDataFrame([(900, before + secret + after)], "doc_id long, text string"))
+    want = (len(before), hashlib.sha256(secret.encode()).hexdigest())
+    found = secret_scan.scanned(docs).where("id = 900").collect()
+    assert want in {(r.start, r.sha256) for r in found}
+    assert {(r.start, r.sha256) for r in found if r.score >= 0.5} == {want}
