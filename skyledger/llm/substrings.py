@@ -9,7 +9,8 @@ windows, so no candidate beyond it can change a removal.
 
 Repeated grams go to the next level as a bitmap of fixed size, a filter that never misses: a fuller one only leaves
 more windows for the exact comparison. A task sends one row per window content and flush, whatever the number of its copies,
-so a passage in a third of all documents is no hot key; its other copies are marked on the spot.
+so a passage in a third of all documents is no hot key; its other copies are marked on the spot. Only different texts that share
+an id, or have none, and begin the passage at the same word are sent each.
 
 Defined cases: null, empty and short texts have no window and lose nothing; earlier means smaller id, or the same id and an earlier
 start, so that equal rows with one id keep their words; rows that share an id but not a text are marked apart; a null id
@@ -90,15 +91,18 @@ def _repeated(rows: DataFrame, window: int, n: int, done: list[tuple[int, np.nda
 
 
 def _later(h1: np.ndarray, h2: np.ndarray, ids: np.ndarray, pos: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Of rows with equal fingerprints: the places of the first of each, and of those that start later."""
-    start = pos & _START
-    order = np.lexsort((start, ids, h2, h1))
+    """Of rows with equal fingerprints: the places of the first of each text that has the earliest start, and of those that start later."""
+    start, tag = pos & _START, pos >> 32
+    order = np.lexsort((tag, start, ids, h2, h1))
     a, b, i, s = h1[order], h2[order], ids[order], start[order]
     new = np.ones(len(order), bool)
     new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
     head = np.flatnonzero(new)[np.cumsum(new) - 1] if len(order) else order
     later = (i != i[head]) | (s != s[head])
-    return order[new], order[later]
+    # Texts that share an id tie; each is sent, as an earlier occurrence elsewhere marks them all.
+    tied = ~later
+    tied[1:] &= new[1:] | (tag[order][1:] != tag[order][:-1])
+    return order[tied], order[later]
 
 
 def repeats(rows: DataFrame, window: int = WINDOW) -> DataFrame:

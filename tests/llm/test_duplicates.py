@@ -187,3 +187,14 @@ def test_sole_link_of_two_dense_clusters(spark):
     assert len(set(want.values())) == 1 and len(set(linked(rows[1:], 1, 80).values())) == 2
     got = neardup.components_of(spark.createDataFrame(rows, "doc_id long, text string"), k=1, share=80).collect()
     assert {r.id: r.component_id for r in got} == want
+
+
+def test_texts_that_share_an_id_all_lose_a_passage(spark):
+    """The earlier occurrence lies in another task than the texts, which tie among themselves."""
+    passage = edges.words(25, 77)
+    rows = [(1, f"x {passage}"), *((i, f"{passage} {n}{i}") for i in (None, 7) for n in "abc")]
+    docs = spark.createDataFrame(spark.sparkContext.parallelize(rows[:1], 1), "doc_id long, text string").unionByName(
+        spark.createDataFrame(spark.sparkContext.parallelize(rows[1:], 1), "doc_id long, text string")
+    )
+    got = sorted(r.n_removed for r in substrings.removed(docs).collect())
+    assert got == [0, 25, 25, 25, 25, 25, 25]
