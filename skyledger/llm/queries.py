@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import public_tokenizers
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from skyledger.llm import decontaminate, langid, lm, mixing, neardup, pseudonyms, resharding, secret_scan, substrings, vectors
+from skyledger.llm import decontaminate, langid, lm, mixing, neardup, pieces, pseudonyms, resample, resharding, runs, secret_scan, substrings, vectors
 from skyledger.llm.shared import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -156,6 +158,120 @@ def op10_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "text", *[F.col(f"found.{k}").alias(f"n_{k}") for k in pseudonyms.KINDS])
 
 
+@query
+def op11_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = pieces.encoded(docs, public_tokenizers.path("piece_bpe_32k.model"), decoded="decoded")
+    return out.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join("ids", " ").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
+def _with_planted_tails(docs: DataFrame) -> DataFrame:
+    """(doc_id, text): in a tenth of the documents, chosen by crc32 of the id, the words from some place on repeat a stretch."""
+
+    def plant(rows: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for texts, seeds in rows:
+            out = texts.to_pylist()
+            for k, (text, h) in enumerate(zip(out, seeds.to_pylist())):
+                words = text.split() if text and h is not None and h % 10 == 0 else []
+                if words:
+                    g, n = h // 10, len(words)
+                    a = g % n
+                    p = 1 + (n - a) // (3 + g % 8)
+                    out[k] = b" ".join(words[:a] + [words[a + (i - a) % p] for i in range(a, n)])
+            yield pa.array(out, pa.binary())
+
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    return docs.select("doc_id", F.arrow_udf(plant, "binary")(F.col("text").cast("binary"), h).alias("text"))
+
+
+@query
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = runs.periodic_runs(_with_planted_tails(table(spark, sf_dir, "documents")))
+    found = F.col("periodic.runs")
+    none = F.lit(None).cast("struct<start:bigint,length:bigint,period:bigint>")
+    # Runs come by start and period, so of equal exponents the first one stays.
+    best = F.reduce(found, none, lambda top, x: F.when(top.isNull() | (x.length * top.period > top.length * x.period), x).otherwise(top))
+    lines = F.array_join(F.transform(found, lambda x: F.concat(F.concat_ws(",", x.start, x.length, x.period), F.lit("\n"))), "")
+    return out.withColumn("best", best).select(
+        "doc_id",
+        F.size(found).cast("long").alias("n_runs"),
+        "best.start", "best.length", "best.period",
+        F.expr("(1000 * best.length) div best.period").alias("exponent_milli"),
+        F.sha2(lines.cast("binary"), 256).alias("runs_sha256"),
+        F.sha2("periodic.collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+# crc32 as a table and a fold over bytes, which are read from hexadecimal digits.
+_CRC = """
+steps(i, c, k) AS (SELECT i, i, 0 FROM range(256) r(i) UNION ALL
+    SELECT i, CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, k + 1 FROM steps WHERE k < 8),
+tab AS (SELECT list(c ORDER BY i) AS t FROM steps WHERE k = 8),
+bytes AS (SELECT s, list_transform(range(1, strlen(s) + 1),
+        lambda i: (instr('0123456789ABCDEF', hex(encode(s))[2 * i - 1]) - 1) * 16 + instr('0123456789ABCDEF', hex(encode(s))[2 * i]) - 1) AS b FROM strings),
+crc AS (SELECT s, xor(list_reduce(list_prepend(4294967295, b), lambda c, x: xor(c >> 8, t[xor(c, x) % 256 + 1])), 4294967295) AS h FROM bytes, tab)
+"""
+
+# Places of a grid whose words agree three times over name the periods to look at; stretches of agreeing places make the runs.
+ORACLES["op12_periodic_runs"] = rf"""
+WITH RECURSIVE strings AS (SELECT DISTINCT CAST(doc_id AS VARCHAR) AS s FROM documents), {_CRC},
+cut AS (SELECT doc_id, coalesce(h, 1) AS h, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w
+    FROM documents LEFT JOIN crc ON s = CAST(doc_id AS VARCHAR)),
+tail AS (SELECT *, len(w) AS n, (h // 10) % len(w) AS a, 1 + (len(w) - (h // 10) % len(w)) // (3 + (h // 10) % 8) AS p FROM cut),
+word AS MATERIALIZED (SELECT doc_id, n, i, CASE WHEN h % 10 = 0 AND i >= a THEN w[1 + a + (i - a) % p] ELSE w[1 + i] END AS x FROM (SELECT *, unnest(range(n)) AS i FROM tail)),
+grid AS (SELECT doc_id, q, unnest(range(0, n - 3 * q, q)) AS i FROM (SELECT doc_id, n, unnest(range(1, n // 4 + 1)) AS q FROM tail)),
+one AS MATERIALIZED (SELECT g.*, x, g.i + q AS j FROM grid g JOIN word o USING (doc_id, i)),
+two AS MATERIALIZED (SELECT g.doc_id, q, g.x, j + q AS j FROM one g JOIN word o ON o.doc_id = g.doc_id AND o.i = j WHERE o.x = g.x),
+three AS MATERIALIZED (SELECT g.doc_id, q, g.x, j + q AS j FROM two g JOIN word o ON o.doc_id = g.doc_id AND o.i = j WHERE o.x = g.x),
+per AS MATERIALIZED (SELECT DISTINCT g.doc_id, q FROM three g JOIN word o ON o.doc_id = g.doc_id AND o.i = j WHERE o.x = g.x),
+pair AS MATERIALIZED (SELECT per.doc_id, q, i, x, i + q AS j FROM per JOIN word USING (doc_id)),
+same AS (SELECT g.doc_id, q, g.i, g.i - row_number() OVER (PARTITION BY g.doc_id, q ORDER BY g.i) AS island
+    FROM pair g JOIN word o ON o.doc_id = g.doc_id AND o.i = j WHERE o.x = g.x),
+run AS MATERIALIZED (SELECT doc_id, start, length, min(q) AS period FROM (SELECT doc_id, q, min(i) AS start, count(*) + q AS length FROM same GROUP BY doc_id, q, island)
+    WHERE length >= greatest(6, 4 * q) GROUP BY doc_id, start, length),
+listed AS (SELECT doc_id, count(*) AS n_runs, string_agg(concat(start, ',', length, ',', period, chr(10)), '' ORDER BY start, period) AS lines FROM run GROUP BY doc_id),
+best AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY length::DOUBLE / period DESC, start, period) AS nth FROM run),
+gone AS (SELECT DISTINCT doc_id, unnest(range(start + period, start + length)) AS i FROM run),
+kept AS (SELECT doc_id, string_agg(x, ' ' ORDER BY i) AS text FROM word ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+SELECT doc_id, coalesce(n_runs, 0) AS n_runs, start, length, period, 1000 * length // period AS exponent_milli,
+    sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(kept.text, '')) AS collapsed_sha256
+FROM documents LEFT JOIN listed USING (doc_id) LEFT JOIN (SELECT * FROM best WHERE nth = 1) USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
+
+
+@query
+def op13_importance_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = resample.resampled(docs, table(spark, sf_dir, "benchmark"), key="doc_id", keep=["doc_id"])
+    return out.select("doc_id", "drawn.n_features", "drawn.weight", "drawn.score", "drawn.rank")
+
+
+ORACLES["op13_importance_resample"] = rf"""
+WITH RECURSIVE d AS (SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS s FROM documents),
+b AS (SELECT unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS s FROM benchmark),
+strings AS (SELECT s FROM d UNION SELECT s FROM b), {_CRC},
+spot AS (SELECT s, h % 10000 AS k FROM crc),
+n_s AS (SELECT k, count(*) AS n FROM d JOIN spot USING (s) GROUP BY k),
+n_t AS (SELECT k, count(*) AS n FROM b JOIN spot USING (s) GROUP BY k),
+gain AS (SELECT k, CAST(floor(1000 * ln((coalesce(n_t.n, 0) + 1)::DOUBLE * ((SELECT count(*) FROM d) + 10000)
+        / ((coalesce(n_s.n, 0) + 1)::DOUBLE * ((SELECT count(*) FROM b) + 10000)))) AS BIGINT) AS g FROM n_s FULL JOIN n_t USING (k)),
+w AS (SELECT doc_id, count(*) AS n, CAST(floor(sum(g)::DOUBLE / count(*)) AS BIGINT) AS weight FROM d JOIN spot USING (s) JOIN gain USING (k) GROUP BY doc_id),
+noise AS (SELECT doc_id, hex(encode(sha256(concat('2024:', doc_id))[1:8])) AS x FROM documents),
+h AS (SELECT doc_id, list_sum(list_transform(range(8), lambda i: (instr('0123456789abcdef', chr(('0x' || x[2 * i + 1:2 * i + 2])::INT)) - 1) * (1::BIGINT << (28 - 4 * i)))) AS h FROM noise),
+scored AS (SELECT doc_id, coalesce(n, 0) AS n_features, coalesce(weight, 0) AS weight,
+        coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296))) AS BIGINT) AS score FROM documents LEFT JOIN w USING (doc_id) JOIN h USING (doc_id)),
+ranked AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank, count(*) OVER () AS n FROM scored WHERE n_features >= 20)
+SELECT doc_id, n_features, weight, score, rank FROM scored LEFT JOIN (SELECT doc_id, rank FROM ranked WHERE rank <= 10 * n // 100) USING (doc_id)
+"""
+
+
 @query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
