@@ -2,9 +2,9 @@
 
 A text is the mean of the embeddings of its byte 2-, 3- and 4-grams (letters lower-cased, everything else a
 space), hashed to ``BUCKETS`` rows per order; a linear softmax reads the mean. Both layers are trained together by
-stochastic gradient descent in numpy on a bounded sample: about ``per_language`` labelled rows of each language,
-chosen by a hash, whole texts and short spans of them. A fifth of the sample is kept back: on it a temperature
-is fitted, and the score below which a text is rejected is set so that ``reject_share`` of labelled texts go.
+stochastic gradient descent in numpy on a bounded sample: at most ``per_language`` distinct labelled texts of each of at most
+``languages`` languages, chosen by a hash, whole texts and short spans of them. A fifth of the sample is kept back: on it a
+temperature is fitted, and a text is rejected that scores lower than halfway between chance and the least certain text kept back.
 
 Scoring walks every whole text. Embedding and softmax are both linear, so their product is tabulated once and a text
 costs one table row per n-gram.
@@ -17,17 +17,21 @@ to the first language in code-point order; repeated rows are scored alike; other
 from __future__ import annotations
 
 import dataclasses
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
-from skyledger.llm.shared import unused
+from skyledger.llm.shared import tidy, unused
 from skyledger.llm.texts import LOWER, blocks, raw
 
 ORDERS = (2, 3, 4)
 BUCKETS = 1 << 16
+#: Bytes that are scored at once, whatever the length of a text.
+PIECE = 1 << 17
 DIM = 16
 #: Bytes that count as letters of a word: ASCII letters and everything beyond ASCII.
 _FOLD = np.full(256, 0x20, np.uint8)
@@ -48,16 +52,21 @@ class Model:
 
     def logits(self, body: np.ndarray, rows: np.ndarray) -> np.ndarray:
         """Mean n-gram scores of each row of a block."""
-        out = np.tile(self.bias, (len(rows) - 1, 1))
-        full = np.flatnonzero(np.diff(rows))
-        if len(full):
-            total = np.zeros((len(body), len(self.languages)), np.float32)
-            for t, spots in zip(self.table, _grams(body, rows)):
-                total += t[spots]
-            out[full] += np.add.reduceat(total, rows[:-1][full], axis=0, dtype=np.float64) / (
-                len(ORDERS) * np.diff(rows)[full][:, None]
-            )
-        return out
+        sums = np.zeros((len(rows) - 1, len(self.languages)))
+        most = max(ORDERS) - 1
+        for at in range(0, len(body), PIECE):
+            # Rows that the piece touches, cut to it; n-grams of its last bytes reach beyond it.
+            stop = min(at + PIECE, len(body))
+            first, last = np.searchsorted(rows, at, "right") - 1, np.searchsorted(rows, stop)
+            ends = np.clip(rows[first : last + 1] - at, 0, None)
+            reach = min(stop + most, rows[last]) - at
+            grams = _grams(body[at : at + reach], np.minimum(ends, reach))
+            total = np.zeros((stop - at, len(self.languages)), np.float32)
+            for t, spots in zip(self.table, grams):
+                total += t[spots[: stop - at]]
+            full = np.flatnonzero(np.diff(np.minimum(ends, stop - at)))
+            sums[first + full] += np.add.reduceat(total, ends[full], axis=0, dtype=np.float64)
+        return self.bias + sums / np.maximum(1, len(ORDERS) * np.diff(rows))[:, None]
 
     def predict(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Language index (-1: ``und``) and probability of each text."""
@@ -139,7 +148,7 @@ def _features(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return rows, shares, np.array(edges)
 
 
-def fit(texts: list[str], langs: list[str], *, epochs: int = 6, rate: float = 20.0, reject_share: float = 0.001, seed: int = 7) -> Model:
+def fit(texts: list[str], langs: list[str], *, epochs: int = 6, rate: float = 20.0, seed: int = 7) -> Model:
     """Train on labelled texts; every fifth text calibrates."""
     languages = sorted(set(langs))
     c = len(languages)
@@ -172,12 +181,12 @@ def fit(texts: list[str], langs: list[str], *, epochs: int = 6, rate: float = 20
     table[:, BUCKETS] = 0
     model = Model(languages, table, bias)
     kept = [(t, index[x]) for t, x, h in zip(texts, langs, held) if h] or [(t, index[x]) for t, x in zip(texts, langs)]
-    _calibrate(model, [t for t, _ in kept], np.array([k for _, k in kept]), reject_share)
+    _calibrate(model, [t for t, _ in kept], np.array([k for _, k in kept]))
     return model
 
 
-def _calibrate(model: Model, texts: list[str], labels: np.ndarray, reject_share: float) -> None:
-    """The temperature that makes labelled texts and spans likeliest, and the score that ``reject_share`` of texts stay below."""
+def _calibrate(model: Model, texts: list[str], labels: np.ndarray) -> None:
+    """The temperature that makes labelled texts and spans likeliest, and the score below which a text is rejected."""
     both = pa.array(_spans(texts, np.random.default_rng(11)), pa.string())
     parts = [raw(p.column(0)) for p in blocks(pa.RecordBatch.from_arrays([both], ["text"]))]
     z = np.concatenate([model.logits(_FOLD[b], r) for b, r in parts])
@@ -185,40 +194,45 @@ def _calibrate(model: Model, texts: list[str], labels: np.ndarray, reject_share:
     fits = [(-np.log(_softmax(z / t)[at] + 1e-9).mean(), t) for t in np.geomspace(0.01, 10, 80)]
     model.temperature = float(min(fits)[1])
     top = np.sort(_softmax(z[::2] / model.temperature).max(axis=1))
-    # Rank rule of conformal prediction. With too few texts for it the threshold lies halfway between chance and the least
-    # certain of them, and not far above chance: a text in none of the languages scores about chance.
-    k, chance = int(np.floor(reject_share * (len(top) + 1))), 1 / len(model.languages)
-    model.threshold = float(top[k - 1]) if k else float(min((chance + top[0]) / 2, chance + 0.2))
+    # A text in none of the languages scores about chance, so the threshold is not far above it, however sure the labelled texts are.
+    chance = 1 / len(model.languages)
+    model.threshold = float(min((chance + top[0]) / 2, chance + 0.2))
 
 
-def train(labelled: DataFrame, *, text: str = "text", lang: str = "lang", per_language: int = 900) -> Model:
-    """Fit on about ``per_language`` rows of each language, the documented bound of the sample.
+def train(labelled: DataFrame, *, text: str = "text", lang: str = "lang", per_language: int = 900, languages: int = 500) -> Model:
+    """Fit on at most ``per_language`` distinct texts of each of the ``languages`` most frequent labels, the documented bound.
 
-    Rows are chosen by a hash of their text against a share per language, so nothing is sorted or shuffled but
-    counts; the sample (languages x ``per_language`` texts) is what reaches the driver.
+    Distinct texts are counted by their hashes and drawn by a hash against a share per language; copies of a drawn text are
+    dropped per task first, and an ordered limit per language makes the bound exact. Nothing else reaches the driver.
     """
-    labelled = labelled.where(F.col(lang).isNotNull() & F.col(text).isNotNull() & (F.col(text) != ""))
-    counts = {r[0]: r[1] for r in labelled.groupBy(lang).count().collect()}
-    if not counts:
+    body, code = F.col(text).cast("binary"), F.xxhash64(F.lit("language sample"), F.col(text).cast("binary"))
+    rows = labelled.where(F.col(lang).isNotNull() & F.col(text).isNotNull() & (F.col(text) != ""))
+    rows = rows.select(F.col(lang).alias("l"), body.alias("t"), code.alias("k"))
+    counts = rows.groupBy("l").agg(F.count(F.lit(1)).alias("n"), F.approx_count_distinct("k", 0.02).alias("d"))
+    counts = counts.orderBy(F.desc("n"), "l").limit(languages)
+    share = F.least(F.lit(1.0), F.lit(1.3 * per_language) / F.greatest(F.lit(1), "d"))
+    limits = counts.select(F.col("l").alias("_l"), (share * (1 << 30)).cast("long").alias("_below"))
+    drawn = rows.join(F.broadcast(limits), F.col("l") == F.col("_l")).where(F.pmod("k", F.lit(1 << 30)) < F.col("_below"))
+    one = drawn.groupBy("l", "k").agg(F.min("t").alias("t"))
+    place = F.row_number().over(W.partitionBy("l").orderBy("k"))
+    sample = one.withColumn("place", place).where(F.col("place") <= per_language).select("l", "t", "k").toArrow()
+    if not sample.num_rows:
         return Model([], np.zeros((len(ORDERS), BUCKETS + 1, 0), np.float32), np.zeros(0))
-    spot = F.pmod(F.xxhash64(F.lit("language sample"), F.col(text)), F.lit(1 << 30))
-    chosen = F.lit(False)
-    for name, n in counts.items():
-        chosen = chosen | ((F.col(lang) == F.lit(name)) & (spot < F.lit(int(min(1.0, per_language / n) * (1 << 30)))))
-    sample = labelled.where(chosen).select(F.col(lang).alias("l"), F.col(text).alias("t"), spot.alias("k")).toArrow()
-    sample = sample.sort_by([("k", "ascending"), ("l", "ascending"), ("t", "ascending")])
-    return fit(sample["t"].to_pylist(), sample["l"].to_pylist())
+    sample = sample.sort_by([("k", "ascending"), ("l", "ascending")])
+    return fit([t.decode("utf-8", "replace") for t in sample["t"].to_pylist()], sample["l"].to_pylist())
 
 
 def identify(docs: DataFrame, model: Model, *, text: str = "text", lang_pred: str = "lang_pred", score: str = "score", rejected: str = "rejected") -> DataFrame:
     """``docs`` with the predicted language, its calibrated probability and whether the text is rejected."""
     shared = docs.sparkSession.sparkContext.broadcast(vars(model))
 
-    def judge(column: pa.Array) -> pa.Array:
+    @tidy
+    def judge(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
         m = Model(**shared.value)
-        best, p = m.predict(column)
-        names = pa.array([*m.languages, "und"], pa.string()).take(pa.array(best % (len(m.languages) + 1)))
-        return pa.StructArray.from_arrays([names, pa.array(p, pa.float64()), pa.array((best < 0) | (p < m.threshold))], ["l", "s", "r"])
+        for column in columns:
+            best, p = m.predict(column)
+            names = pa.array([*m.languages, "und"], pa.string()).take(pa.array(best % (len(m.languages) + 1)))
+            yield pa.StructArray.from_arrays([names, pa.array(p, pa.float64()), pa.array((best < 0) | (p < m.threshold))], ["l", "s", "r"])
 
     said = unused(docs, "_said")
     out = docs.withColumn(said, F.arrow_udf(judge, "struct<l:string,s:double,r:boolean>")(F.col(text)))

@@ -1,6 +1,7 @@
 import random
 
 import edges
+import pyarrow as pa
 import pytest
 
 from skyledger.llm import langid
@@ -66,3 +67,28 @@ def test_one_language(spark):
     model = langid.train(spark.createDataFrame([("abc def", "en")] * 3, "text string, lang string"))
     got = langid.identify(spark.createDataFrame([("abc",)], "text string"), model).first()
     assert (got.lang_pred, got.score, got.rejected) == ("en", 1.0, False)
+
+
+def test_sample_is_bounded_and_distinct(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(langid, "fit", lambda texts, langs: seen.append((texts, langs)))
+    rows = [("copied text", "en")] * 3000 + [(f"text number {i}", lang) for i in range(200) for lang in ("en", "de")] + [("x", f"junk{i}") for i in range(40)]
+    langid.train(spark.createDataFrame(rows, "text string, lang string"), per_language=50, languages=3)
+    ((texts, langs),) = seen
+    assert len(set(zip(texts, langs))) == len(texts) and set(langs) == {"en", "de", "junk0"}
+    assert 40 <= langs.count("en") <= 50 and 40 <= langs.count("de") <= 50
+
+
+def test_long_texts_are_scored_in_pieces(model, monkeypatch):
+    texts = pa.array(["", "the cat", "a" * 999, "der hund und die katze " * 30, "", "x"])
+    want = model.predict(texts)
+    for size in (1, 3, 100):
+        monkeypatch.setattr(langid, "PIECE", size)
+        got = model.predict(texts)
+        assert got[0].tolist() == want[0].tolist() and got[1] == pytest.approx(want[1])
+
+
+def test_malformed_texts(spark):
+    rows = spark.createDataFrame([(t.encode(), lang) for lang, ts in (("en", EN), ("de", DE)) for t in ts] + [(b"the \xff dog \xc3", "en")], "b binary, lang string")
+    docs = rows.selectExpr("cast(b as string) AS text", "lang")
+    assert langid.identify(docs, langid.train(docs)).count() == 7
