@@ -68,7 +68,7 @@ def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op6_reshard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    placed = resharding.reshard(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    placed = resharding.reshard(table(spark, sf_dir, "documents").select("doc_id", "text"), keep=["doc_id"])
     return resharding.slotted(placed).select(
         F.col("id").alias("doc_id"), "size", F.col("crc").alias("text_crc32"), F.lit("bytes").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"), F.col("old").alias("old_shard"),

@@ -1,13 +1,13 @@
 """Resharding by minimum-cost flow: old shard sizes and new capacities decide how many bytes go from where to where.
 
 Rows are grouped in blocks of equal texts, which move as one; a group larger than ``1 / SPLIT`` of a shard is cut into
-blocks of about that size, so that one text in a third of all rows cannot fill a shard. The old layout deals blocks to
+blocks of about that size by the rows' numbers within it, so that one text in a third of all rows cannot fill a shard. The old layout deals blocks to
 ``old`` shards by a hash. The flow network has one node per old and new shard: staying costs nothing, a moved byte costs
 one, so the optimal flow moves the fewest bytes that the capacities allow; it is solved on the driver and is as large as
 the two shard counts, whatever the rows. Blocks of an old shard are lined up by falling size (a distributed sort
 with running sums per partition) and the flow cuts the line: the first and largest stay, the cuts fall among small blocks.
 
-Only shards that gain or lose rows are written again by ``rewrite``.
+Only shards that gain or lose rows are written again by ``rewrite``, beside the old files, and shards that empty are removed.
 
 Defined cases: a null text has size 1, checksum 0, and is equal to other nulls but not to the empty text; null or repeated
 ids are rows like others; an empty table has no rows to place; extra columns pass through.
@@ -16,6 +16,7 @@ ids are rows like others; an empty table has no rows to place; extra columns pas
 from __future__ import annotations
 
 import heapq
+import uuid
 from collections import defaultdict
 
 from pyspark.sql import DataFrame
@@ -103,18 +104,20 @@ def _pick(values: list[tuple[object, object]], otherwise):
     return otherwise if chosen is None else chosen.otherwise(otherwise)
 
 
-def plan_blocks(rows: DataFrame, id_hash, shards: int, old: int) -> DataFrame:
-    """(group, part, size, bytes, old, shard) of every block of ``rows`` (group, size, id); ``parts`` of split groups join back."""
-    groups = settled(rows.groupBy("group").agg(F.sum("size").alias("bytes"), F.max("size").alias("size")))
-    total = groups.agg(F.sum("bytes")).first()[0] or 0
+def plan_blocks(rows: DataFrame, shards: int, old: int) -> tuple[DataFrame, DataFrame]:
+    """(group, part, bytes, old, shard) of every block of ``rows`` (group, size), and (group, per) of the groups that are split.
+
+    The rows of a group are alike, so a split group's parts are ``per`` rows each, whichever these are.
+    """
+    groups = settled(rows.groupBy("group").agg(F.count(F.lit(1)).alias("n"), F.max("size").alias("size")))
+    total = groups.agg(F.sum(F.col("n") * F.col("size"))).first()[0] or 0
     limit = max(1, total // (shards * SPLIT))
+    per = F.greatest(F.lit(1), F.expr(f"{limit}L div size"))
     # At most total / limit groups are that large, so this table has at most shards * SPLIT rows, all told.
-    large = groups.where((F.col("bytes") > 2 * limit) & (F.col("bytes") >= 2 * F.col("size"))).select(
-        F.col("group").alias("_large"), F.ceil(F.col("bytes") / F.greatest(F.lit(limit), F.col("size"))).cast("int").alias("parts")
-    )
-    dealt = rows.join(F.broadcast(large), F.col("group") == F.col("_large"), "left")
-    dealt = dealt.withColumn("part", F.pmod(id_hash, F.coalesce("parts", F.lit(1))).cast("int"))
-    blocks = dealt.groupBy("group", "part").agg(F.sum("size").alias("bytes"))
+    large = groups.where((F.col("n") * F.col("size") > 2 * limit) & (F.col("n") > 1)).select("group", per.alias("per"))
+    cut = groups.join(F.broadcast(large), "group", "left").withColumn("per", F.coalesce("per", "n"))
+    parts = cut.withColumn("part", F.explode(F.sequence(F.lit(0), F.expr("cast((n - 1) div per as int)"))))
+    blocks = parts.select("group", "part", (F.least("per", F.col("n") - F.col("part") * F.col("per")) * F.col("size")).alias("bytes"))
     blocks = blocks.withColumn("old", F.pmod(F.xxhash64("group"), F.lit(old)).cast("int"))
     order = ["old", F.desc("bytes"), "group", "part"]
     lined = settled(blocks.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("at", F.spark_partition_id()))
@@ -141,42 +144,67 @@ def plan_blocks(rows: DataFrame, id_hash, shards: int, old: int) -> DataFrame:
         .withColumn("middle", middle)
         .withColumn("shard", _pick([*cuts, *[(F.col("old") == i, j) for i, j in last.items()]], F.lit(0)).cast("int"))
     )
-    return placed.select("group", "part", "bytes", "old", "shard").join(F.broadcast(large), F.col("group") == F.col("_large"), "left").drop("_large")
+    return placed.select("group", "part", "bytes", "old", "shard"), large
 
 
-def reshard(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", shards: int = SHARDS, old: int = OLD_SHARDS, out: str = "placed") -> DataFrame:
-    """``docs`` with struct ``out``: size, crc, old and shard. Sizes of shards are equal to within about a small block."""
-    sized = _sized(docs, text, out)
-    id_hash = F.xxhash64(F.lit("part"), F.col("id"))
-    rows = settled(sized.select(f"{out}.group", f"{out}.size", F.col(doc_id).alias("id")))
-    blocks = settled(plan_blocks(rows, id_hash, shards, old))
-    parts = blocks.where("parts IS NOT NULL").select(F.col("group").alias("_g"), "parts").distinct()
-    mark = unused(docs, "_part")
-    dealt = sized.join(F.broadcast(parts.withColumnsRenamed({"_g": f"{mark}_g", "parts": f"{mark}_n"})), F.col(f"{out}.group") == F.col(f"{mark}_g"), "left")
-    dealt = dealt.withColumn(mark, F.pmod(F.xxhash64(F.lit("part"), F.col(doc_id)), F.coalesce(f"{mark}_n", F.lit(1))).cast("int"))
-    side = blocks.select(F.struct("group", "part", "old", "shard").alias(f"{mark}_b"))
-    joined = dealt.join(side, (F.col(f"{out}.group") == F.col(f"{mark}_b.group")) & (F.col(mark) == F.col(f"{mark}_b.part")))
-    placed = F.struct(F.col(f"{out}.size").alias("size"), F.col(f"{out}.crc").alias("crc"), F.col(f"{mark}_b.old").alias("old"), F.col(f"{mark}_b.shard").alias("shard"))
-    return joined.select(*docs.columns, placed.alias(out))
+def reshard(docs: DataFrame, *, text: str = "text", keep: list[str] | None = None, shards: int = SHARDS, old: int = OLD_SHARDS, out: str = "placed") -> DataFrame:
+    """``docs`` (or its columns ``keep``) with struct ``out``: row, size, crc, old and shard.
+
+    Sizes of shards are equal to within about a small block; ``row`` is a number of its own for each row. What is kept of the rows is
+    written once, so that their numbers last.
+    """
+    kept = docs.columns if keep is None else keep
+    own, group, size = (unused(docs, f"_{c}") for c in ("own", "group", "size"))
+    base = _sized(docs, text, own).select(*kept, own, F.monotonically_increasing_id().alias(group))
+    base = settled(base.select(*kept, F.struct(F.col(group).alias("row"), f"{own}.*").alias(own)))
+    blocks, large = plan_blocks(base.select(f"{own}.group", f"{own}.size"), shards, old)
+    blocks, large = settled(blocks), F.broadcast(settled(large))
+    split = base.select(*kept, own, F.col(f"{own}.group").alias(group)).join(large.select(F.col("group").alias(group), F.col("per").alias(size)), group, "left")
+    part = unused(docs, "_part")
+    whole = split.where(F.col(size).isNull()).withColumn(part, F.lit(0))
+    cut = split.where(F.col(size).isNotNull())
+    rows = cut.count()
+    if rows:
+        # Rows are numbered within their group, though it be a third of all; ``per`` of them make a part.
+        cut = ranked(cut, [group], F.xxhash64(F.lit("part"), F.col(f"{own}.row")), part, buckets_for(rows))
+        whole = whole.unionByName(cut.withColumn(part, F.expr(f"cast(`{part}` div `{size}` as int)")))
+    side = blocks.select(F.col("group").alias(group), F.col("part").alias(part), F.struct("old", "shard").alias(size))
+    joined = whole.drop(size).join(side, [group, part])
+    return joined.select(*kept, F.struct(f"{own}.row", f"{own}.size", f"{own}.crc", f"{size}.old", f"{size}.shard").alias(out))
 
 
 def slotted(placed: DataFrame, *, doc_id: str = "doc_id", out: str = "placed") -> DataFrame:
-    """(id, size, crc, old, shard, slot): slots of a shard are gapless from 0 in order of a hash of the id."""
+    """(id, row, size, crc, old, shard, slot): slots of a shard are gapless from 0 in order of a hash."""
     rows = settled(placed.select(F.col(doc_id).alias("id"), f"{out}.*"))
-    return ranked(rows, ["shard"], F.xxhash64(F.lit("slot"), F.col("id"), F.col("crc")), "slot", buckets_for(rows.count()))
+    return ranked(rows, ["shard"], F.xxhash64(F.lit("slot"), F.col("id"), F.col("crc"), F.col("row")), "slot", buckets_for(rows.count()))
 
 
-def rewrite(docs: DataFrame, path: str, *, doc_id: str = "doc_id", text: str = "text", shards: int = SHARDS, old: int = OLD_SHARDS) -> list[int]:
-    """Write the shards that gain or lose rows below ``path`` (``shard=N`` folders) and return their numbers.
+def rewrite(placed: DataFrame, path: str, *, out: str = "placed", shard: str = "shard", files: int = 16) -> list[int]:
+    """Bring the files below ``path`` (``shard=N`` folders) to the plan that ``reshard`` made, and return the shards written.
 
-    Each affected shard is replaced whole, others stay as they are; a lost executor costs retries, and a folder
-    is replaced only when the job that wrote all of them has succeeded.
+    A shard is written again if it gains or loses rows, or has no folder yet; the others stay untouched. All of them are
+    written beside the old ones first, in one job, and only then change places with them; a shard that has lost all its rows goes. If
+    the job fails nothing has changed.
     """
-    out = unused(docs, "_placed")
-    shard = unused(docs, "shard")
-    placed = reshard(docs, doc_id=doc_id, text=text, shards=shards, old=old, out=out)
-    moves = placed.groupBy(f"{out}.old", f"{out}.shard").count().where("old <> shard").collect()  # old x new rows at most
-    affected = sorted({r.old for r in moves} | {r["shard"] for r in moves})
-    rows = placed.withColumn(shard, F.col(f"{out}.shard")).drop(out).where(F.col(shard).isin(affected))
-    rows.repartition(F.col(shard), F.pmod(F.xxhash64(doc_id), F.lit(16))).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(shard).parquet(path)
-    return affected
+    spark = placed.sparkSession
+    moves = placed.groupBy(f"{out}.old", f"{out}.shard").count().collect()  # old x new rows at most
+    fs = spark._jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def folder(*names: str):
+        return spark._jvm.org.apache.hadoop.fs.Path("/".join([path.rstrip("/"), *names]))
+
+    full = {r["shard"] for r in moves}
+    there = {s.getPath().getName() for s in fs.listStatus(folder())} if fs.exists(folder()) else set()
+    there = {int(n.split("=")[1]) for n in there if n.startswith(f"{shard}=")}
+    affected = {x for r in moves if r.old != r["shard"] for x in (r.old, r["shard"])} | (full - there) | (there - full)
+    draft = f"_next-{uuid.uuid4().hex[:12]}"
+    rows = placed.withColumn(shard, F.col(f"{out}.shard")).where(F.col(shard).isin(sorted(affected)))
+    spread = F.pmod(F.xxhash64(F.lit("file"), F.col(f"{out}.row")), F.lit(files))
+    rows.repartition(F.col(shard), spread).drop(out).write.partitionBy(shard).parquet(str(folder(draft)))
+    for n in sorted(affected):
+        name = f"{shard}={n}"
+        fs.delete(folder(name), True)
+        if n in full:
+            fs.rename(folder(draft, name), folder(name))
+    fs.delete(folder(draft), True)
+    return sorted(affected & full)

@@ -2,11 +2,13 @@ import collections
 import math
 import random
 import re
+import zlib
 
 import edges
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from skyledger.llm import lm, mixing, resharding, vectors
 from skyledger.llm.graph import Graph
@@ -161,15 +163,58 @@ def test_shards(spark):
     assert moved <= 1.02 * need + 2000
 
 
+def shards_of(spark, path):
+    return {(r.doc_id, r.shard) for r in spark.read.parquet(path).select("doc_id", "shard").collect()}
+
+
 def test_rewrite_touches_only_affected_shards(spark, tmp_path):
     rows = [(i, edges.words(20, i)) for i in range(400)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     path = str(tmp_path / "shards")
-    affected = resharding.rewrite(docs, path, shards=8, old=6)
-    back = spark.read.parquet(path)
-    placed = resharding.reshard(docs, shards=8, old=6).select("doc_id", "placed.shard")
-    assert {(r.doc_id, r.shard) for r in back.select("doc_id", "shard").collect()} == {tuple(r) for r in placed.collect() if r.shard in affected}
-    assert {6, 7} <= set(affected)
+    placed = resharding.reshard(docs, shards=8, old=6)
+    assert resharding.rewrite(placed, path) == list(range(8))
+    want = {(r.doc_id, r.shard) for r in placed.select("doc_id", "placed.shard").collect()}
+    assert shards_of(spark, path) == want
+    staying = placed.withColumn("placed", F.col("placed").withField("old", F.col("placed.shard")))
+    kept = {p.name: p.stat().st_mtime_ns for p in (tmp_path / "shards").rglob("*.parquet")}
+    assert resharding.rewrite(staying, path) == []
+    swapped = F.when(F.col("doc_id") == rows[0][0], (F.col("placed.shard") + 1) % 8).otherwise(F.col("placed.shard"))
+    (moved,) = [s for i, s in want if i == rows[0][0]]
+    assert resharding.rewrite(staying.withColumn("placed", F.col("placed").withField("shard", swapped)), path) == sorted({moved, (moved + 1) % 8})
+    assert shards_of(spark, path) == {(i, (s + 1) % 8 if i == rows[0][0] else s) for i, s in want}
+    same = {p.name for p in (tmp_path / "shards").rglob("*.parquet") if kept.get(p.name) == p.stat().st_mtime_ns}
+    assert len(same) >= len(kept) * 5 // 8
+
+
+def test_shards_that_empty_are_removed(spark, tmp_path):
+    docs = spark.createDataFrame([(i, edges.words(20, i)) for i in range(400)], "doc_id long, text string")
+    path = str(tmp_path / "shards")
+    resharding.rewrite(resharding.reshard(docs, shards=8, old=6), path)
+    resharding.rewrite(resharding.reshard(docs, shards=6, old=8), path)
+    got = shards_of(spark, path)
+    assert len(got) == 400 and {s for _, s in got} == set(range(6))
+    assert {p.name for p in (tmp_path / "shards").iterdir() if p.is_dir()} == {f"shard={k}" for k in range(6)}
+
+
+@pytest.mark.parametrize("same", [None, 7])
+def test_copies_with_one_id_are_spread(spark, same):
+    rows = [(same, "copied text")] * 900 + [(i, edges.words(2, i)) for i in range(100)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = resharding.slotted(resharding.reshard(docs)).collect()
+    sizes, slots = collections.Counter(), collections.defaultdict(list)
+    for r in got:
+        sizes[r.shard] += r["size"]
+        slots[r.shard].append(r.slot)
+        assert r.crc == zlib.crc32(b"copied text") or r.id is not None and r.id < 100
+    assert len(got) == 1000 and max(sizes.values()) - min(sizes.values()) <= 40 and len(sizes) == 8
+    assert all(sorted(x) == list(range(len(x))) for x in slots.values())
+
+
+def test_checksums(spark):
+    docs = edges.documents(spark).select("doc_id", "text")
+    for r in resharding.reshard(docs).collect():
+        body = (r.text or "").encode()
+        assert (r.placed.crc, r.placed["size"]) == (zlib.crc32(body), len(body) + 1)
 
 
 def test_shard_edges(spark):
