@@ -7,10 +7,10 @@ place and its neighbourhood. Features: length, character classes and transitions
 dictionary words (the ``DICTIONARY`` commonest words of all documents), whether it stands in a path or address, and the
 words and signs beside it. A forest is trained on labelled findings and scores every candidate.
 
-Labels are a table (id, start, label) of reviewed findings; without one, findings label themselves by a strict rule
-(an assignment to a name such as token or password against anything else). Training takes at most ``SAMPLE``
-labelled findings, chosen by a hash, in one partition, so that it is reproducible; scanning, the dictionary and scoring
-cover all rows. Results carry a SHA-256 of the secret, not the secret.
+Labels are a table (id, start, label) of reviewed findings. Without one, ``PLANTED`` made-up secrets and look-alikes are put
+into stretches of the documents; what they are is known from the making, not from any feature. Training takes at most
+``SAMPLE`` labelled findings, chosen by a hash, in one partition, so that it is reproducible; scanning, the dictionary and
+scoring cover all rows. Results carry a SHA-256 of the secret, not the secret.
 
 Defined cases: null and empty texts have no findings; with labels of one kind only, every finding has that label's score; an
 empty table gives an empty result; equal candidates are findings of their own wherever they stand; a null id is kept
@@ -24,11 +24,14 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from skyledger.llm.shared import settled
 
 SHORTEST, NEAR = 16, 60
 DICTIONARY, SAMPLE = 300, 20_000
+#: Findings that are made up to learn from, and documents whose beginnings they are put into.
+PLANTED, CONTEXTS = 6_000, 200
 TREES, DEPTH, SEED = 24, 6, 7
 # Names that secrets are assigned to, and words that stand beside harmless identifiers.
 NAMES = "token|secret|passw|pwd|credential|api.?key|access.?key|private.?key|auth|bearer"
@@ -58,19 +61,24 @@ def _share(pattern: str) -> Column:
 
 
 def findings(docs: DataFrame, words: list[str], *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(id, start, length, sha256, features) of every candidate of every text."""
+    """(id, start, size, sha256, features) of every candidate of every text; the work grows with the candidates' number."""
     t = F.col(text)
-    runs = docs.where(t.rlike(_RUN)).select(F.col(doc_id).alias("id"), F.regexp_extract_all(t, F.lit(_RUN), F.lit(0)).alias("found"), F.split(t, _RUN, -1).alias("rest"))
-    each = runs.select("id", "found", "rest", F.posexplode("found").alias("at", "secret"))
-    before = F.aggregate(F.slice("rest", 1, F.col("at") + 1), F.lit(0), lambda n, x: n + F.length(x))
-    inside = F.aggregate(F.slice("found", 1, F.col("at")), F.lit(0), lambda n, x: n + F.length(x))
-    between = F.element_at("rest", F.col("at") + 1)
+    runs = docs.where(t.rlike(_RUN)).select(
+        F.col(doc_id).alias("id"), F.monotonically_increasing_id().alias("row"), F.regexp_extract_all(t, F.lit(_RUN), F.lit(0)).alias("found"), F.split(t, _RUN, -1).alias("rest")
+    )
+    # A candidate takes along what stands close to it only, not the text's other pieces.
+    beside = F.transform("found", lambda secret, i: F.struct(
+        secret.alias("secret"), F.get("found", i - 1).alias("before"), F.length(F.get("rest", i)).alias("gap"),
+        F.substring(F.get("rest", i), -NEAR, NEAR).alias("between"), F.substring(F.get("rest", i + 1), 1, 8).alias("right"),
+    ))
+    each = runs.select("id", "row", F.posexplode(beside).alias("at", "c")).select("id", "row", "at", "c.*")
+    ended = F.sum(F.col("gap") + F.length("secret")).over(W.partitionBy("row").orderBy("at").rowsBetween(W.unboundedPreceding, 0))
+    between = F.col("between")
     # A name long enough to be a candidate itself belongs to what is assigned to it.
-    name = F.when(F.col("at") > 0, F.concat(F.element_at("found", F.greatest(F.col("at"), F.lit(1))), between))
-    names_it = between.rlike(rf"^[\"'`]?\s*{_SIGN}?\s*[\"'`]?$") & name.rlike(rf"{_SIGN}\s*[\"'`]?$")
+    name = F.concat("before", between)
+    names_it = F.coalesce((F.col("gap") <= NEAR) & between.rlike(rf"^[\"'`]?\s*{_SIGN}?\s*[\"'`]?$") & name.rlike(rf"{_SIGN}\s*[\"'`]?$"), F.lit(False))
     left = F.lower(F.substring(F.when(names_it, name).otherwise(between), -NEAR, NEAR))
-    right = F.substring(F.element_at("rest", F.col("at") + 2), 1, 8)
-    placed = each.select("id", "secret", (before + inside).cast("long").alias("start"), left.alias("left"), right.alias("right"))
+    placed = each.select("id", "secret", (ended - F.length("secret")).cast("long").alias("start"), left.alias("left"), "right")
     chars = F.split(F.col("secret"), "")
     n = F.length("secret")
     share = lambda c: (n - F.length(F.replace(F.col("secret"), c, F.lit("")))) / n
@@ -91,31 +99,100 @@ def findings(docs: DataFrame, words: list[str], *, doc_id: str = "doc_id", text:
     )
 
 
-def strict_labels(found: DataFrame) -> DataFrame:
-    """Label 1: assigned to a telling name, not beside a harmless word, with digits and letters; else 0."""
-    rule = (F.col("named") == 1) & (F.col("assigned") == 1) & (F.col("harmless") == 0) & (F.col("digits") > 0) & (F.col("class_changes") > 0)
-    return found.select("id", "start", rule.cast("double").alias("label"))
+def _shaped(kind: Column, shapes: list[tuple[str, Column, str]]) -> Column:
+    """(before, value, after) of one of the shapes."""
+    out = None
+    for k, (before, value, after) in enumerate(shapes):
+        one = F.struct(F.lit(before).alias("before"), value.alias("value"), F.lit(after).alias("after"))
+        out = F.when(kind == k, one) if out is None else out.when(kind == k, one)
+    return out
+
+
+def planted(docs: DataFrame, words: list[str], n: int = PLANTED, *, text: str = "text") -> DataFrame:
+    """(id, text, start, label): ``n`` stretches of the documents with a made-up secret (1) or look-alike (0) put in.
+
+    What is a secret is known from the making, not from features. Secrets are keys and passwords under telling names, in
+    addresses, headers and free text; look-alikes are digests, identifiers, paths, compounds, numbers, and words, dates and
+    placeholders under the same telling names. Stretches come from at most ``CONTEXTS`` documents, chosen by a hash.
+    """
+    spark = docs.sparkSession
+    some = docs.where(F.length(text) > 0).select(F.substring(text, 1, 300).alias("t")).distinct()
+    rows = some.orderBy(F.xxhash64("t"), "t").limit(CONTEXTS).collect()  # bounded, by both parameters
+    contexts = spark.createDataFrame([(i, r.t) for i, r in enumerate(rows)] or [(0, "")], "at int, context string")
+    i = F.col("id").cast("string")
+    hexed = lambda salt, size: F.substring(F.concat(F.sha2(F.concat(F.lit(salt), i), 256), F.sha2(F.concat(i, F.lit(salt)), 256)), 1, size)
+    mixed = lambda salt, size: F.substring(F.regexp_replace(F.base64(F.unhex(hexed(salt, 120))), "[+/=]", "x"), 1, size)
+    pick = lambda salt, size: F.pmod(F.xxhash64(F.lit(salt), "id"), F.lit(size)).cast("int")
+    listed = words or ["word"]
+    word = lambda salt: F.element_at(F.array(*map(F.lit, listed)), pick(salt, len(listed)) + 1)
+    telling = ["password", "API_KEY", "token", "db_passwd", "client_secret", "auth_token", "accessKey", "credential"]
+    signs = F.element_at(F.array(*[F.lit(x) for x in "!%&#$*"]), pick("sign", 6) + 1)
+    short = F.concat(F.substring(mixed("a", 9), 1, pick("size", 4) + 3), pick("digit", 10).cast("string"), F.when(pick("signed", 2) == 0, signs).otherwise(""), F.substring(mixed("b", 9), 1, pick("rest", 4) + 1))
+    hidden = F.element_at(F.array(mixed("c", 20), mixed("c", 40), hexed("c", 32), hexed("c", 40), F.base64(F.unhex(hexed("c", 40))), F.concat(mixed("d", 12), F.lit("."), mixed("e", 20))), pick("form", 6) + 1)
+    harmless = ["YOUR_TOKEN_GOES_HERE", "your-password-here", "changeme", "xxxxxxxxxxxxxxxx", "placeholder_value_only", "none", "required", "true"]
+    plain = F.element_at(F.array(*map(F.lit, harmless), word("w"), F.concat_ws("-", word("x"), word("y"), word("z"))), pick("plain", len(harmless) + 2) + 1)
+    secrets, likes = [], []
+    for before, after in ((' = "', '"'), (": ", " "), ("=", "\n"), ("='", "'"), ('": "', '"')):
+        for name in telling:
+            secrets += [(name + before, hidden, after), (name + before, short, after)]
+            likes += [(name + before, plain, after)]
+    secrets += [("see https://host/x?token=", mixed("u", 20), "&page=2"), ("Authorization: Bearer ", mixed("v", 36), "\n")] * 8
+    digest = [("commit ", 40), ("checksum: ", 32), ("sha256:", 64), ("md5 = ", 32), ("revision ", 40), ("see ", 40), ("digest is ", 64)]
+    likes += [(before, hexed("g", size), " ") for before, size in digest] * 3
+    uuid = F.concat_ws("-", hexed("h", 8), hexed("i", 4), hexed("j", 4), hexed("k", 4), hexed("l", 12))
+    likes += [("id: ", uuid, " "), ("uuid=", uuid, " "), ("the path /usr/share/", hexed("m", 40), "/x.txt"), ("image ", hexed("n", 32), ".png"), ("from https://host/files/", mixed("o", 24), "/page")] * 4
+    likes += [("an ", F.concat(F.lit("extra"), word("p"), word("q"), word("r"), word("s")), " here"), ("number ", F.translate(hexed("t", 24), "abcdef", "012345"), " "), ("token_expiry = ", F.lit("2024-01-01T00:00:00Z"), " ")] * 4
+    label = pick("label", 2)
+    shape = F.when(label == 1, _shaped(pick("shape", len(secrets)), secrets)).otherwise(_shaped(pick("shape", len(likes)), likes))
+    made = spark.range(n).select("id", label.alias("label"), shape.alias("s"), F.pmod("id", F.lit(max(1, len(rows)))).cast("int").alias("at"))
+    head = F.concat("context", F.lit(" "), "s.before")
+    return made.join(F.broadcast(contexts), "at").select(
+        "id", F.concat(head, "s.value", "s.after").alias("text"), F.length(head).cast("long").alias("start"), F.col("label").cast("double").alias("label")
+    )
+
+
+def learned(docs: DataFrame, words: list[str], *, text: str = "text") -> DataFrame:
+    """(id, label, sha256, start, features) of the planted findings: candidates at the places where something was put in."""
+    made = settled(planted(docs, words, text=text))
+    found = findings(made, words, doc_id="id")
+    return found.join(made.select("id", "start", "label"), ["id", "start"]).select("id", "label", "sha256", "start", *FEATURES)
 
 
 def scanned(docs: DataFrame, labels: DataFrame | None = None, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Every candidate with ``score``, the forest's probability that it is a secret."""
-    found = settled(findings(docs, dictionary(docs, text), doc_id=doc_id, text=text))
-    marked = strict_labels(found) if labels is None else labels.select(F.col(doc_id).alias("id"), "start", F.col("label").cast("double").alias("label"))
-    marked = marked.dropDuplicates(["id", "start"]).withColumnsRenamed({"id": "_id", "start": "_start"})
-    known = found.join(marked, F.col("id").eqNullSafe(F.col("_id")) & (F.col("start") == F.col("_start"))).select("label", "sha256", "start", *FEATURES)
+    words = dictionary(docs, text)
+    found = settled(findings(docs, words, doc_id=doc_id, text=text))
+    if labels is None:
+        known = learned(docs, words, text=text).drop("id")
+    else:
+        marked = labels.select(F.col(doc_id).alias("_id"), F.col("start").alias("_start"), F.col("label").cast("double").alias("label")).dropDuplicates(["_id", "_start"])
+        known = found.join(marked, F.col("id").eqNullSafe(F.col("_id")) & (F.col("start") == F.col("_start"))).select("label", "sha256", "start", *FEATURES)
+    model, kinds = forest(known)
+    if model is None:
+        return found.withColumn("score", F.lit(kinds[0] if kinds else 0.0))
+    return _scored(model, found)
+
+
+def forest(known: DataFrame):
+    """The forest fitted on at most ``SAMPLE`` labelled findings, and the labels there are; no forest without two of them."""
     sample = known.orderBy(F.xxhash64("sha256", "start"), "sha256", "start", "label").limit(SAMPLE)
     sample = settled(sample.repartition(1).sortWithinPartitions("sha256", "start", "label", *FEATURES))
     kinds = [r.label for r in sample.select("label").distinct().collect()]  # at most two values
     if len(kinds) < 2:
-        return found.withColumn("score", F.lit(kinds[0] if kinds else 0.0))
-    assembler = VectorAssembler(inputCols=FEATURES, outputCol="_features")
-    forest = RandomForestClassifier(
+        return None, kinds
+    trees = RandomForestClassifier(
         labelCol="label", featuresCol="_features", probabilityCol="_probability", rawPredictionCol="_raw", predictionCol="_prediction",
         numTrees=TREES, maxDepth=DEPTH, seed=SEED,
     )
-    model = forest.fit(assembler.transform(sample))
-    scores = model.transform(assembler.transform(found))
-    return scores.select(*found.columns, vector_to_array("_probability")[1].alias("score"))
+    return trees.fit(_assembler().transform(sample)), kinds
+
+
+def _assembler() -> VectorAssembler:
+    return VectorAssembler(inputCols=FEATURES, outputCol="_features")
+
+
+def _scored(model, found: DataFrame) -> DataFrame:
+    return model.transform(_assembler().transform(found)).select(*found.columns, vector_to_array("_probability")[1].alias("score"))
 
 
 def secrets(docs: DataFrame, labels: DataFrame | None = None, *, least: float = 0.5, **columns: str) -> DataFrame:
