@@ -5,18 +5,21 @@ values, keyed by BLAKE2. Whatever is not a digit or letter stays, check digits a
 be invalid are permuted again until valid (cycle walking), so a pseudonym is valid where its original was. The same
 value has the same pseudonym in every document, task and run with the key, and two values never share one.
 
-Cards (Luhn), account numbers (mod 97), social security numbers (allowed ranges), phone numbers (3-3-4), addresses
-(octets), dates (calendar) and e-mail names are covered; strings that fail validation are left alone. A date or number
-written in two ways has one pseudonym, written in the same two ways.
+Cards (Luhn), account numbers (mod 97), social security numbers (allowed ranges, with dashes), phone numbers (3-3-4, behind
+a country code in any grouping, or behind an area code with 0), addresses (four octets, or eight groups), dates (in figures, or with an
+English month name) and e-mail names in the alphabets listed below are covered; strings that fail validation are left alone, and so are
+bare runs of nine or ten digits, which may be anything. A date or number written in two ways has one pseudonym,
+written in the same two ways; an address of eight groups comes back written out.
 
 Defined cases: null stays null with no finds, empty stays empty; overlapping matches go to the first and longest kind;
-repeated rows get equal results; texts of any length are read whole; other columns pass through.
+repeated rows get equal results; bytes that are not UTF-8 stay; texts of any length are read whole; other columns pass through.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 import hashlib
+import ipaddress
 import re
 from collections.abc import Callable
 
@@ -29,6 +32,9 @@ from skyledger.llm.shared import unused
 from skyledger.llm.texts import blocks, raw
 
 ROUNDS = 10
+# Month names, and the countries' codes of one and two digits; all others have three.
+MONTHS = "January February March April May June July August September October November December".split()
+CODES = "1 7 20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 81 82 84 86 90 91 92 93 94 95 98".split()
 KINDS = ("email", "card", "account", "ssn", "phone", "address", "date")
 # The formats that are recognised.
 _EMAIL = r"(?P<email>[^\W_][\w.+%-]*@[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,})"
@@ -39,11 +45,28 @@ _NUMBERS = (
     r"|(?P<ssn>(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-]))"
     r"|(?P<phone>(?<!\w)(?:\+\d{1,3}[ .-]?)?(?:\(\d{3}\)[ ]?|\d{3}[ .-])\d{3}[ .-]\d{4}(?!\w))"
     r"|(?P<card>(?<![\w])\d(?:[ -]?\d){12,18}(?!\w))"
+    r"|(?P<abroad>(?<![\w+])\+\d{1,3}(?:[ ./-]?\(?\d{1,4}\)?){2,6}(?!\w))"
+    r"|(?P<trunk>(?<![\w.,/+-])(?:\(0\d{1,4}\)[ ./-]?\d{3,8}|0[1-9]\d{1,3}[ /-]\d{3,8})(?:[ -]\d{2,5}){0,2}(?![\w.,/-]*\d))"
+    r"|(?P<address6>(?<![\w:.])(?:[0-9A-Fa-f]{1,4}:){2}(?:[0-9A-Fa-f]{0,4}:){0,5}[0-9A-Fa-f]{1,4}(?![\w:.]))"
+    r"|(?P<named>(?<!\w)(?:\d{1,2} %(m)s,? \d{4}|%(m)s \d{1,2},? \d{4})(?!\w))" % {"m": "(?:%s)" % "|".join(m if m[:3] == m else f"{m}|{m[:3]}" for m in MONTHS)}
 )
 _PLAIN = re.compile(_NUMBERS)
 _MAILED = re.compile(_EMAIL + "|" + _NUMBERS)
 _ALPHABETS = ("0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "ßàáâãäåæçèéêëìíîïðñòóôõöøùúûüýþÿ", "ÀÁÂÃÄÅÆÇÈÉÊËÌÍÎÏÐÑÒÓÔÕÖØÙÚÛÜÝÞ")
-_PLACE = {c: (k, i) for k, a in enumerate(_ALPHABETS) for i, c in enumerate(a)}
+_PLACE = {c: (a, i) for a in _ALPHABETS for i, c in enumerate(a)}
+# First and last letter of other alphabets, each permuted within itself.
+_SCRIPTS = "αω ΑΡ ΣΩ ая АЯ את ءغ في अह กฮ ぁゖ ァヺ 一龥 가힣".split()
+
+
+def _place(c: str) -> tuple[int, int, int] | None:
+    """Size of a character's alphabet, its place in it, and the code point of the first (or -1)."""
+    if c in _PLACE:
+        alphabet, i = _PLACE[c]
+        return len(alphabet), i, -1
+    for first, last in _SCRIPTS:
+        if first <= c <= last:
+            return ord(last) - ord(first) + 1, ord(c) - ord(first), ord(first)
+    return None
 
 
 class Cipher:
@@ -129,13 +152,21 @@ def ssn(cipher: Cipher, text: str) -> str | None:
 
 
 def phone(cipher: Cipher, text: str) -> str | None:
-    """Country code and the exchange 555, which is never anyone's, stay."""
+    """Country code or the 0 before an area code stay, and the exchange 555, which is never anyone's."""
     d = _digits(text)
-    code, number = d[:-10], d[-10:]
-    if number[3:6] == [5, 5, 5]:
+    if text[0] == "+":
+        size = next((n for n in (1, 2) if "".join(map(str, d[:n])) in CODES), 3)
+    else:
+        size = int(d[0] == 0 and len(d) != 10 or text.startswith(("0", "(0")))
+    code, number = d[:size], d[size:]
+    if not 6 <= len(number) <= 13 or len(d) > 15:
+        return None
+    if len(number) == 10 and number[3:6] == [5, 5, 5]:
         p = cipher.permute("phone 555", number[:3] + number[6:], [10] * 7)
         return _refilled(text, code + p[:3] + [5, 5, 5] + p[3:])
-    return _refilled(text, code + cipher.walk("phone", number, [10] * 10, lambda p: p[3:6] != [5, 5, 5]))
+    if len(number) == 10:
+        return _refilled(text, code + cipher.walk("phone", number, [10] * 10, lambda p: p[3:6] != [5, 5, 5]))
+    return _refilled(text, code + cipher.walk("phone", number, [10] * len(number), lambda p: (p[0] == 0) == (number[0] == 0)))
 
 
 def address(cipher: Cipher, text: str) -> str | None:
@@ -145,9 +176,45 @@ def address(cipher: Cipher, text: str) -> str | None:
     return ".".join(map(str, cipher.permute("address", octets, [256] * 4)))
 
 
+def address6(cipher: Cipher, text: str) -> str | None:
+    """All eight groups, written out; what has no digit or is no address is left alone."""
+    try:
+        groups = [int(x, 16) for x in ipaddress.IPv6Address(text).exploded.split(":")]
+    except ValueError:
+        return None
+    if not re.search(r"\d", text):
+        return None
+    return ":".join(f"{x:x}" for x in cipher.permute("address6", groups, [1 << 16] * 8))
+
+
 _EARLY, _LATE = dt.date(1900, 1, 1).toordinal(), dt.date(2099, 12, 31).toordinal()
 
 
+def _moved(cipher: Cipher, day: int) -> dt.date:
+    if _EARLY <= day <= _LATE:  # a domain about as large as the window keeps the walk short
+        n = _LATE - _EARLY + 1
+        p = cipher.walk("date", list(divmod(day - _EARLY, 271)), [271, 271], lambda p: p[0] * 271 + p[1] < n)
+        return dt.date.fromordinal(_EARLY + p[0] * 271 + p[1])
+    joined = lambda p: p[0] * 2000 + p[1]
+    valid = lambda p: 0 < joined(p) <= dt.date.max.toordinal() and not _EARLY <= joined(p) <= _LATE
+    return dt.date.fromordinal(joined(cipher.walk("other date", list(divmod(day, 2000)), [1827, 2000], valid)))
+
+
+def named(cipher: Cipher, text: str) -> str | None:
+    """A date with the month's English name, in full or three letters."""
+    month, (day, year) = re.search("[A-Za-z]+", text)[0], re.findall(r"\d+", text)
+    k = next(i for i, m in enumerate(MONTHS) if m.startswith(month))
+    try:
+        new = _moved(cipher, dt.date(int(year), k + 1, int(day)).toordinal())
+    except ValueError:
+        return None
+    name = MONTHS[new.month - 1]
+    out = re.sub("[A-Za-z]+", name if month == MONTHS[k] and len(month) > 3 else name[:3] if len(month) == 3 and month != "May" else name, text)
+    day_at = re.search(r"\d+", out)
+    out = f"{out[: day_at.start()]}{new.day}{out[day_at.end() :]}"
+    return f"{out[:-4]}{new.year:04d}"
+
+
 def date(cipher: Cipher, text: str) -> str | None:
     """Dates of 1900 to 2099 stay in these years, others outside them."""
     parts = [int(x) for x in re.split(r"\D", text)]
@@ -158,17 +225,7 @@ def date(cipher: Cipher, text: str) -> str | None:
             day = dt.date(parts[y], parts[m], parts[d]).toordinal()
         except ValueError:
             continue
-        modern = _EARLY <= day <= _LATE
-        last = dt.date.max.toordinal()
-        joined = lambda p: p[0] * 2000 + p[1]
-        valid = lambda p: (_EARLY <= joined(p) <= _LATE) if modern else (0 < joined(p) <= last and not _EARLY <= joined(p) <= _LATE)
-        if modern:  # a domain about as large as the window keeps the walk short
-            n = _LATE - _EARLY + 1
-            p = cipher.walk("date", list(divmod(day - _EARLY, 271)), [271, 271], lambda p: p[0] * 271 + p[1] < n)
-            new = dt.date.fromordinal(_EARLY + p[0] * 271 + p[1])
-        else:
-            p = cipher.walk("other date", list(divmod(day, 2000)), [1827, 2000], valid)
-            new = dt.date.fromordinal(joined(p))
+        new = _moved(cipher, day)
         out = {y: new.year, m: new.month, d: new.day}
         widths = [len(x) for x in text.split(mark)]
         return mark.join(f"{out[i]:0{4 if i == y else widths[i] if widths[i] == 2 else 1}d}" for i in range(3))
@@ -176,26 +233,30 @@ def date(cipher: Cipher, text: str) -> str | None:
 
 
 def _alphabetic(cipher: Cipher, kind: str, text: str) -> str:
-    places = [(i, *_PLACE[c]) for i, c in enumerate(text) if c in _PLACE]
+    places = [(i, c, *place) for i, c in enumerate(text) if (place := _place(c))]
     if not places:
         return text
-    new = cipher.permute(kind, [v for _, _, v in places], [len(_ALPHABETS[k]) for _, k, _ in places])
+    new = cipher.permute(kind, [v for _, _, _, v, _ in places], [n for _, _, n, _, _ in places])
     out = list(text)
-    for (i, k, _), v in zip(places, new):
-        out[i] = _ALPHABETS[k][v]
+    for (i, c, _, _, first), v in zip(places, new):
+        out[i] = chr(first + v) if first >= 0 else _PLACE[c][0][v]
     return "".join(out)
 
 
 def email(cipher: Cipher, text: str) -> str | None:
     name, _, host = text.partition("@")
-    return f"{_alphabetic(cipher, 'email|' + host.lower(), name)}@{host}"
+    return f"{_alphabetic(cipher, 'email|' + host.lower(), name)}@{host}" if any(map(_place, name)) else None
 
 
 _RULES: dict[str, Callable[[Cipher, str], str | None]] = {
-    "email": email, "card": card, "account": account, "ssn": ssn, "phone": phone, "address": address, "date": date
+    "email": email, "card": card, "account": account, "ssn": ssn, "phone": phone, "address": address, "date": date,
+    "abroad": phone, "trunk": phone, "address6": address6, "named": named,
 }
 
 
+_KIND = {"abroad": "phone", "trunk": "phone", "address6": "address", "named": "date"}
+
+
 def rewritten(cipher: Cipher, text: str) -> tuple[str, list[int]]:
     """The text with pseudonyms, and how many of each kind."""
     counts = [0] * len(KINDS)
@@ -204,7 +265,7 @@ def rewritten(cipher: Cipher, text: str) -> tuple[str, list[int]]:
         new = _RULES[m.lastgroup](cipher, m.group())
         if new is None:
             return m.group()
-        counts[KINDS.index(m.lastgroup)] += 1
+        counts[KINDS.index(_KIND.get(m.lastgroup, m.lastgroup))] += 1
         return new
 
     return (_MAILED if "@" in text else _PLAIN).sub(replace, text), counts
@@ -221,15 +282,17 @@ def pseudonymised(docs: DataFrame, key: str, *, text: str = "text", found: str =
             body, rows = raw(part.column(0))
             digit = np.concatenate([[0], np.cumsum((body >= 0x30) & (body <= 0x39) | (body == 0x40))])
             for t, maybe in zip(part.column(0).to_pylist(), np.diff(digit[rows]) > 0):
-                new, n = rewritten(cipher, t) if maybe else (t, [0] * len(KINDS))
-                texts.append(new)
-                counts.append(n)
+                if maybe:  # what is not UTF-8 stays as it is
+                    t, n = rewritten(cipher, t.decode("utf-8", "surrogateescape"))
+                    t = t.encode("utf-8", "surrogateescape")
+                texts.append(t)
+                counts.append(n if maybe else [0] * len(KINDS))
         flat = np.array(counts, np.int64).reshape(-1, len(KINDS))
-        columns = [pa.array(texts, pa.string()), *[pa.array(np.ascontiguousarray(flat[:, k])) for k in range(len(KINDS))]]
+        columns = [pa.array(texts, pa.binary()), *[pa.array(np.ascontiguousarray(flat[:, k])) for k in range(len(KINDS))]]
         return pa.StructArray.from_arrays(columns, ["text", *KINDS])
 
     said = unused(docs, "_rewritten")
     kinds = ", ".join(f"{k}:bigint" for k in KINDS)
-    out = docs.withColumn(said, F.arrow_udf(rewrite, f"struct<text:string, {kinds}>")(F.col(text)))
+    out = docs.withColumn(said, F.arrow_udf(rewrite, f"struct<text:binary, {kinds}>")(F.col(text).cast("binary")))
     counts = F.struct(*[F.col(f"{said}.{k}").alias(k) for k in KINDS]).alias(found)
-    return out.select(*[F.col(f"{said}.text").alias(text) if c == text else F.col(c) for c in docs.columns], counts)
+    return out.select(*[F.col(f"{said}.text").cast("string").alias(text) if c == text else F.col(c) for c in docs.columns], counts)

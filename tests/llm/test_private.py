@@ -36,6 +36,9 @@ def test_small_domain_is_a_permutation():
         ("email", "ann.smith42@mail.example.com"), ("card", "4111 1111 1111 1111"), ("card", "4111111111111111"), ("account", "GB82 WEST 1234 5698 7654 32"),
         ("account", "DE89370400440532013000"), ("ssn", "219-09-9999"), ("phone", "+1 (569) 555-7279"), ("phone", "212-867-5309"), ("address", "192.168.0.17"),
         ("date", "1987-03-14"), ("date", "14.03.1987"), ("date", "3/14/1987"), ("date", "1066-10-14"),
+        ("phone", "+4930123456"), ("phone", "+49 30 1234567"), ("phone", "+44 (20) 7946 0958"), ("phone", "020 7946 0958"), ("phone", "(030) 123456"), ("phone", "+358-9-1234567"),
+        ("email", "иван.петров@mail.ru"), ("email", "παύλος@example.gr"), ("email", "山田@example.jp"), ("address", "2001:db8::8a2e:370:7334"),
+        ("address", "fe80:0:0:0:1ff:fe23:4567:890a"), ("date", "14 March 1987"), ("date", "Mar 14, 1987"), ("date", "May 2, 2011"),
     ],
 )
 def test_formats(kind, text):
@@ -45,7 +48,7 @@ def test_formats(kind, text):
     assert found[1] == found[2] != text and len(found[1]) >= len(text) - 2
     again, twice = rewritten(CIPHER, found[1])
     assert twice == [k == kind for k in KINDS], "a pseudonym is valid"
-    if kind not in ("date", "address"):
+    if kind not in ("date", "address") and text.isascii():
         shape = lambda s: re.sub("[a-z]", "a", re.sub("[A-Z]", "A", re.sub(r"\d", "0", s)))
         assert shape(found[1]) == shape(text)
 
@@ -57,11 +60,22 @@ def test_one_value_in_two_writings():
     assert a.split("-") == b.split(".")[::-1]
 
 
-@pytest.mark.parametrize("text", ["4111111111111112", "999.1.1.1", "1987-02-30", "000-12-3456", "version 2.0.", "12345", "GB00 WEST 1234 5698 7654 32", "3.14", "a@b"])
+@pytest.mark.parametrize("text", ["4111111111111112", "999.1.1.1", "1987-02-30", "000-12-3456", "version 2.0.", "12345", "GB00 WEST 1234 5698 7654 32", "3.14", "a@b", "12:30:45", "std::vector", "add::cafe", "February 30, 2001", "+1 2", "0.123 456", "1234567890"])
 def test_invalid_values_stay(text):
     assert rewritten(CIPHER, f"x {text} y") == (f"x {text} y", [0] * len(KINDS))
 
 
+def test_one_phone_at_home_and_abroad():
+    digits = lambda t: re.sub(r"\D", "", rewritten(CIPHER, t)[0])
+    assert digits("+49 30 1234567") == digits("+49301234567") == "49" + digits("030 1234567")[1:]
+
+
+def test_named_and_plain_dates_agree():
+    y, m, d = rewritten(CIPHER, "1987-03-14")[0].split("-")
+    month = pseudonyms.MONTHS[int(m) - 1]
+    assert rewritten(CIPHER, "14 March 1987")[0] == f"{int(d)} {month} {y}" and rewritten(CIPHER, "Mar 14, 1987")[0] == f"{month[:3]} {int(d)}, {y}"
+
+
 def test_keys_differ():
     assert rewritten(Cipher(b"a"), "219-09-9999") != rewritten(Cipher(b"b"), "219-09-9999")
 
@@ -123,11 +137,32 @@ def test_reviewed_labels_decide(spark):
     assert got.where("(score >= 0.5) = (named = 1)").count() <= 0.05 * got.count()
 
 
+def test_held_out_planted_findings(spark):
+    """The forest never saw these, nor does any one feature decide them."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    words = secret_scan.dictionary(docs, "text")
+    known = secret_scan.learned(docs, words).cache()
+    assert known.count() >= 0.6 * secret_scan.PLANTED  # the rest is too short for a candidate, or harmless words
+    model, _ = secret_scan.forest(known.where("id % 5 <> 0"))
+    got = secret_scan._scored(model, known.where("id % 5 = 0")).select("label", "score", "named", "assigned").collect()
+    hit = sum(r.label == 1 and r.score >= 0.5 for r in got)
+    precision, recall = hit / sum(r.score >= 0.5 for r in got), hit / sum(r.label for r in got)
+    assert precision >= 0.95 and recall >= 0.95, (precision, recall)
+    rule = [r for r in got if r.named == 1 and r.assigned == 1]
+    assert sum(r.label for r in rule) < 0.9 * len(rule), "a telling name alone does not decide"
+
+
+def test_places_in_a_text_with_many_candidates(spark):
+    text = " ".join(f"x{i} {hashlib.sha1(str(i).encode()).hexdigest()}" for i in range(3000))
+    found = secret_scan.findings(spark.createDataFrame([(1, text)], "doc_id long, text string"), []).select("start", "sha256").collect()
+    assert {(r.start, r.sha256) for r in found} == {(m.start(), hashlib.sha256(m.group().encode()).hexdigest()) for m in re.finditer("[0-9a-f]{40}", text)}
+
+
 def test_scan_edges(spark):
     assert secret_scan.secrets(edges.no_documents(spark)).count() == 0
     assert secret_scan.secrets(edges.documents(spark)).count() == 0
     one = spark.createDataFrame([(None, f'token = "{SECRET}"', 1, 2.0)], "doc_id long, text string, start int, score double")
-    assert [(r.id, r.start, r.score) for r in secret_scan.secrets(one).collect()] == [(None, 9, 1.0)]
+    assert [(r.id, r.start, r.score > 0.8) for r in secret_scan.secrets(one).collect()] == [(None, 9, True)]
 
 
 @pytest.mark.parametrize(
@@ -149,3 +184,9 @@ def test_assigned_values_are_found(spark, before, secret, after):
     found = secret_scan.scanned(docs).where("id = 900").collect()
     assert want in {(r.start, r.sha256) for r in found}
     assert {(r.start, r.sha256) for r in found if r.score >= 0.5} == {want}
+
+
+def test_malformed_text_keeps_its_bytes(spark):
+    docs = spark.createDataFrame([(1, b"mail jo@ex.com \xff\xc3 end")], "doc_id long, b binary").selectExpr("doc_id", "cast(b as string) AS text")
+    (row,) = pseudonyms.pseudonymised(docs, "k", found="n").selectExpr("cast(text as binary) AS b", "n").collect()
+    assert row.n.email == 1 and bytes(row.b).endswith(b"@ex.com \xff\xc3 end")
