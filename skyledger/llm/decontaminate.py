@@ -12,7 +12,8 @@ items may grow without bound. A shingle that many documents share is counted bef
 
 Defined cases: null or wordless documents have no words, no hits and are not contaminated; null or wordless items
 have no windows; null item ids are not listed; equal items all count; repeated documents are judged row by row,
-whatever their ids; other columns do not matter.
+whatever their ids; bytes that are not UTF-8 belong to words, which are compared with U+FFFD in their place; other columns do
+not matter.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from skyledger.llm.shared import bitmap, settled, unused, within
+from skyledger.llm.shared import bitmap, settled, tidy, unused, within
 from skyledger.llm.texts import ALNUM, U, Words, blocks, rolling
 
 WINDOW = 13
@@ -40,6 +41,7 @@ def _salted(h: np.ndarray, n: int) -> np.ndarray:
 def item_windows(items: DataFrame, item_id: str, text: str, window: int = WINDOW, shingle: int = SHINGLE) -> DataFrame:
     """(item_id, words, n, shingles): every window of every item, its words joined by a space."""
 
+    @tidy
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in blocks(batch, "text"):
@@ -53,7 +55,7 @@ def item_windows(items: DataFrame, item_id: str, text: str, window: int = WINDOW
                     grams = _salted(rolling(h[w.first[i] : w.first[i] + w.counts[i]], s), s).view(np.int64)
                     for at in range(len(words) - n + 1):
                         rows.append(i)
-                        texts.append(b" ".join(words[at : at + n]).decode())
+                        texts.append(b" ".join(words[at : at + n]).decode("utf-8", "replace"))
                         sizes.append(n)
                         shingles.append(grams[at : at + n - s + 1].tolist())
                 ids = part.column("item_id").take(pa.array(rows, pa.int64()))
@@ -71,6 +73,7 @@ def _counted(docs: DataFrame, text: str, bits: np.ndarray, sizes: list[int]) ->
     """(shingle, freq): how often each shingle that the bitmap may hold occurs in all documents."""
     shared = docs.sparkSession.sparkContext.broadcast(bits)
 
+    @tidy
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in blocks(batch, "text"):
@@ -90,6 +93,7 @@ def _sought(docs: DataFrame, text: str, key: str, bits: np.ndarray, sizes: list[
     """One row per document: its words, and each prefix shingle with the words around it."""
     shared = docs.sparkSession.sparkContext.broadcast(bits)
 
+    @tidy
     def seek(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in blocks(batch, "text"):
@@ -102,7 +106,7 @@ def _sought(docs: DataFrame, text: str, key: str, bits: np.ndarray, sizes: list[
                         i = w.row[p]
                         begin = max(p - (window - s), w.first[i])
                         end = min(p + window, w.first[i] + w.counts[i])
-                        near = b" ".join(w.text(j) for j in range(begin, end)).decode()
+                        near = b" ".join(w.text(j) for j in range(begin, end)).decode("utf-8", "replace")
                         out[i].append({"shingle": int(g[p].view(np.int64)), "at": int(p - w.first[i]), "inset": int(p - begin), "near": near})
                 yield pa.RecordBatch.from_arrays(
                     [part.column("key"), pa.array(w.counts.astype(np.int64)), pa.array(out, pa.list_(pa.struct([("shingle", pa.int64()), ("at", pa.int64()), ("inset", pa.int32()), ("near", pa.string())])))],

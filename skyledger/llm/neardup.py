@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skyledger.llm.components import components
-from skyledger.llm.shared import bitmap, released, settled, unused, within
+from skyledger.llm.shared import bitmap, released, settled, tidy, unused, within
 from skyledger.llm.texts import SPACES, U, Words, blocks, mixed, rolling
 
 HASHES, TREES, STEP, DEPTH = 64, 16, 4, 24
@@ -74,6 +74,7 @@ def _binary(rows: np.ndarray) -> pa.Array:
 def signatures(docs: DataFrame, doc_id: str, text: str, k: int) -> DataFrame:
     """(id, n, d1, d2, sig): distinct shingles, digest of the set, MinHash values."""
 
+    @tidy
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in blocks(batch, "text"):
@@ -163,6 +164,7 @@ def candidates(classes: DataFrame, share: int) -> DataFrame:
         for batch in rows.combine_chunks().to_batches():
             yield shaped(batch.num_rows, edge=np.full(batch.num_rows, at, np.int32), **{c: batch.column(c) for c in _ROW})
 
+    @tidy
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, tail, seen = TaskContext.get().partitionId(), None, set()
         head = None
@@ -195,6 +197,7 @@ def sets_of(docs: DataFrame, doc_id: str, text: str, k: int, wanted: DataFrame)
     """(id, set) of the documents in ``wanted`` (id); a bitmap of fixed size spares most others."""
     shared = docs.sparkSession.sparkContext.broadcast(bitmap(wanted, "id"))
 
+    @tidy
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column("id").fill_null(0).to_numpy(zero_copy_only=False).view(U)
@@ -220,6 +223,7 @@ def confirmed(pairs: DataFrame, sets: DataFrame, share: int) -> DataFrame:
 def regions(classes: DataFrame) -> DataFrame:
     """(tree, region, id) of the sets that share a prefix with ``FULL`` others or more; prefixes of equal hash are one region."""
 
+    @tidy
     def plant(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from skyledger.llm.shared import unused
+from skyledger.llm.shared import tidy, unused
 from skyledger.llm.texts import blocks, raw
 
 BLOCK = 4 << 20
@@ -244,6 +244,7 @@ def encoded(docs: DataFrame, model: str, *, text: str = "text", ids: str = "ids"
     with open(model, "rb") as f:
         shared = docs.sparkSession.sparkContext.broadcast(vars(Vocabulary(f.read())))
 
+    @tidy
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = Vocabulary.__new__(Vocabulary)
         vars(v).update(shared.value)

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from skyledger.llm.shared import buckets_for, settled, unused
+from skyledger.llm.shared import buckets_for, settled, tidy, unused
 from skyledger.llm.texts import blocks, raw
 
 BUCKETS = 10_000
@@ -65,6 +65,7 @@ def _bucketed(counts: Counter, buckets: int) -> tuple[np.ndarray, np.ndarray]:
 def histogram(docs: DataFrame, *, text: str = "text", longest: int = 1, buckets: int = BUCKETS) -> np.ndarray:
     """Features of all texts per bucket."""
 
+    @tidy
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(buckets, np.int64)
         for batch in batches:
@@ -93,6 +94,7 @@ def weighted(docs: DataFrame, gain: np.ndarray, *, text: str = "text", longest:
     """``docs`` with a struct (n_words, n_features, weight)."""
     shared = docs.sparkSession.sparkContext.broadcast(gain)
 
+    @tidy
     def weigh(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         gain = shared.value
         for column in batches:

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skyledger.llm.shared import unused
+from skyledger.llm.shared import tidy, unused
 from skyledger.llm.texts import Words, blocks
 
 #: Pairs of places asked at once.
@@ -212,6 +212,7 @@ def periodic_runs(docs: DataFrame, *, text: str = "text", out: str = "periodic",
     those that some run has after its first period; binary, as a text need not be UTF-8.
     """
 
+    @tidy
     def detect(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for column in batches:
             parts = []

@@ -14,7 +14,7 @@ an id, or have none, and begin the passage at the same word are sent each.
 
 Defined cases: null, empty and short texts have no window and lose nothing; earlier means smaller id, or the same id and an earlier
 start, so that equal rows with one id keep their words; rows that share an id but not a text are marked apart; a null id
-comes last; other columns do not matter.
+comes last; bytes that are not UTF-8 are kept as they are; other columns do not matter.
 """
 
 from __future__ import annotations
@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skyledger.llm.shared import bitmap, settled, within
-from skyledger.llm.texts import SPACES, U, Words, blocks, rolling, sliding
+from skyledger.llm.texts import SPACES, U, Words, blocks, raw, rolling, sliding
 
 WINDOW = 20
 SHORTEST = 5
@@ -179,24 +179,25 @@ def _covered(starts: np.ndarray, runs: np.ndarray, words: int, window: int) -> n
 def removed(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", window: int = WINDOW, digest: bool = False) -> DataFrame:
     """(doc_id, n_words, n_removed, kept) of every row: kept words joined by one space, or their SHA-256 with ``digest``."""
     rows = _keyed(docs, doc_id, text)
-    marks = settled(repeats(rows.select("id", "tag", "text"), window).groupBy("id", "tag").agg(F.collect_list(F.struct("start", "run")).alias("starts")))
+    marks = settled(repeats(rows.select("id", "tag", "text"), window).groupBy("id", "tag").agg(F.collect_set(F.struct("start", "run")).alias("starts")))
     shared = docs.sparkSession.sparkContext.broadcast(bitmap(marks, "id", BITS))
     # ``kept`` is final where no mark can exist; else it carries the text to the marks.
-    say = (lambda b: hashlib.sha256(b).hexdigest()) if digest else (lambda b: b.decode())
-    fields = "id bigint, tag bigint, whole boolean, n_words bigint, kept string"
+    say = (lambda b: hashlib.sha256(b).hexdigest().encode()) if digest else (lambda b: b)
+    fields = "id bigint, tag bigint, whole boolean, n_words bigint, kept binary"
 
     def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in blocks(batch):
                 hit = within(shared.value, part.column("id").to_numpy().view(U))
                 counts, kept = [], []
-                for t, maybe in zip(part.column("text"), hit):
-                    words = (t.as_py() or "").encode().split()
+                body, edges = raw(part.column("text"))
+                for a, b, maybe in zip(edges, edges[1:], hit):
+                    words = body[a:b].tobytes().split()
                     counts.append(len(words))
                     joined = b" ".join(words)
-                    kept.append(joined.decode() if maybe else say(joined))
+                    kept.append(joined if maybe else say(joined))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("own"), part.column("id"), part.column("tag"), pa.array(~hit), pa.array(counts, pa.int64()), pa.array(kept, pa.string())],
+                    [part.column("own"), part.column("id"), part.column("tag"), pa.array(~hit), pa.array(counts, pa.int64()), pa.array(kept, pa.binary())],
                     ["own", "id", "tag", "whole", "n_words", "kept"],
                 )
 
@@ -209,7 +210,7 @@ def removed(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", wind
                     gone.append(0)
                     kept.append(t)
                     continue
-                words = t.encode().split()
+                words = t.split()
                 if starts.is_valid:
                     lost = _covered(*(starts.values.field(k).to_numpy().astype(np.int64) for k in (0, 1)), len(words), window)
                     words, n = [x for x, out in zip(words, lost) if not out], int(lost.sum())
@@ -218,10 +219,11 @@ def removed(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", wind
                 gone.append(n)
                 kept.append(say(b" ".join(words)))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("own"), batch.column("n_words"), pa.array(gone, pa.int64()), pa.array(kept, pa.string())], ["own", "n_words", "n_removed", "kept"]
+                [batch.column("own"), batch.column("n_words"), pa.array(gone, pa.int64()), pa.array(kept, pa.binary())], ["own", "n_words", "n_removed", "kept"]
             )
 
     kind = docs.schema[doc_id].dataType.simpleString()
     started = rows.mapInArrow(first, f"own {kind}, {fields}")
     met = started.join(marks, ["id", "tag"], "left").select("own", "whole", "n_words", "kept", "starts")
-    return met.mapInArrow(last, f"own {kind}, n_words bigint, n_removed bigint, kept string").withColumnRenamed("own", doc_id)
+    out = met.mapInArrow(last, f"own {kind}, n_words bigint, n_removed bigint, kept binary")
+    return out.select(F.col("own").alias(doc_id), "n_words", "n_removed", F.col("kept").cast("string").alias("kept"))

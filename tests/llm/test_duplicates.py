@@ -198,3 +198,14 @@ def test_texts_that_share_an_id_all_lose_a_passage(spark):
     )
     got = sorted(r.n_removed for r in substrings.removed(docs).collect())
     assert got == [0, 25, 25, 25, 25, 25, 25]
+
+
+def test_malformed_texts(spark):
+    passage = b" ".join(b"w%d" % i for i in range(25)) + b" \xff\xfe end"
+    docs = spark.createDataFrame([(1, b"one " + passage), (2, passage + b" \xc3"), (3, b"\xe4")], "doc_id long, b binary").selectExpr("doc_id", "cast(b as string) AS text")
+    got = {r.doc_id: (r.n_removed, bytes(r.k)) for r in substrings.removed(docs).selectExpr("doc_id", "n_removed", "cast(kept AS binary) AS k").collect()}
+    assert got == {1: (0, b"one " + passage), 2: (27, b"\xc3"), 3: (0, b"\xe4")}
+    items = docs.where("doc_id = 1").selectExpr("doc_id AS item_id", "text")
+    hits = {r.doc_id: r.n_hit for r in decontaminate.report(docs, items, "doc_id").collect()}
+    assert hits == {1: 28, 2: 27, 3: 0}
+    assert neardup.components_of(docs, k=3, share=85).count() == 3

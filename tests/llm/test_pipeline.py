@@ -19,7 +19,7 @@ def test_query_equals_sql(spark, name):
 
 def test_registered():
     names = [n for n in entry.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11)) and "pipeline" in entry.queries()
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14)) and "pipeline" in entry.queries()
     assert set(queries.ORACLES) <= set(queries.QUERIES)
 
 
