@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from skyledger.llm import decontaminate, langid, mixing, neardup, resharding
 from skyledger.llm.shared import table, unused
@@ -42,11 +43,11 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def sharded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All rows, with the shard that each goes to and the one it came from."""
-    out = unused(docs, "_placed")
-    placed = resharding.reshard(docs, out=out)
-    new = {unused(docs, name): F.col(f"{out}.{k}") for name, k in (("shard", "shard"), ("old_shard", "old"))}
-    return placed.withColumns(new).drop(out)
+    """All rows, written to the files of their shards and read from there, with the shard that each came from."""
+    out, shard, old = (unused(docs, name) for name in ("_placed", "shard", "old_shard"))
+    path = work_dir(spark, "shards")
+    resharding.rewrite(resharding.reshard(docs, out=out).withColumn(old, F.col(f"{out}.old")), path, out=out, shard=shard)
+    return spark.read.schema(T.StructType([*docs.schema.fields, T.StructField(old, T.IntegerType()), T.StructField(shard, T.IntegerType())])).parquet(path)
 
 
 STAGES = [
