@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-import io
+import uuid
 import zipfile
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyledger.plans import refresh
-from skyledger.session import work_dir
+from skyledger.session import drop_work, work_dir
 from skyledger.sources import driver_tables as d
 from skyledger.sources import files, ingest
 from skyledger.sources.schemas import MARKET_COLUMNS, SEGMENT_COLUMNS
@@ -91,20 +92,31 @@ def decode_fallback(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def expand_archives(spark: SparkSession, sf: str) -> DataFrame:
-    """The rows packed into many archives (one per batch of a task) and unpacked again."""
-    rows = d.bronze_segment(spark, sf).withColumnRenamed("_data_scope", "region")
+    """The rows packed into real archives, some with an inner directory for large files, and loaded as one batch each."""
+    root, base = work_dir(spark, "warehouse"), work_dir(spark, "raw")
+    rows = d.bronze_segment(spark, sf)
+    for scope in SCOPES:
+        place = files.resolved(spark, _made(spark, f"{base}/{scope}"))
+
+        def pack(batches, place=place):
+            store, folder = files.store_of(place)
+            for batch in batches:
+                name = f"{folder}/{uuid.uuid4().hex}.zip"
+                with store.open_output_stream(name) as out, zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+                    z.writestr("Documentation.csv", "field,meaning\n" * 5)
+                    with z.open("data.csv", "w", force_zip64=len(batch) % 2 == 0) as member:
+                        batch.to_csv(member, index=False)
+                yield pd.DataFrame({"name": [name]})
+
+        rows.filter(F.col("_data_scope") == scope).drop("_data_scope").mapInPandas(pack, "name string").count()
+        ingest.load(spark, root, f"{scope}_segment", f"{base}/{scope}/*.zip", "append")
+    return _landed(ingest.read_bronze(spark, root, "segment"))
 
-    def pack(batches):
-        for i, batch in enumerate(batches):
-            packed = io.BytesIO()
-            with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as z:
-                z.writestr("Documentation.csv", "field,meaning\n" * 5)
-                z.writestr("data.csv", batch.to_csv(index=False))
-            yield pd.DataFrame({"path": [f"batch-{i}.zip"], "content": [packed.getvalue()]})
 
-    archives = rows.mapInPandas(pack, "path string, content binary")
-    read = files.expand_archives(archives, tuple(SEGMENT_COLUMNS))
-    return _landed(read.withColumn("_data_scope", F.col("region")))
+def _made(spark: SparkSession, path: str) -> str:
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(hadoop)
+    return path
 
 
 def _load_both(spark: SparkSession, sf: str, root: str, mode: str, times: int = 1) -> None:
@@ -160,18 +172,27 @@ def period_range(spark: SparkSession, sf: str) -> DataFrame:
     return ingest.period_range(d.bronze_segment(spark, sf), "_data_scope")
 
 
-def _warehouse(spark: SparkSession, sf: str) -> str:
-    """Raw files of every kind landed and the whole warehouse rebuilt from them."""
+def landed(spark: SparkSession, sf: str) -> str:
+    """Raw files of every kind landed in a new warehouse."""
     root, base = work_dir(spark, "warehouse"), work_dir(spark, "raw")
     _load_both(spark, sf, root, "replace-scope")
     for scope in SCOPES:
-        demand = _raw_scope(spark, sf, scope)
-        demand = demand.select(*[c for c in demand.columns if c in MARKET_COLUMNS])
-        ingest.load(spark, root, f"{scope}_market", write_raw(demand, f"{base}/market-{scope}"), "replace-scope")
+        ingest.load(spark, root, f"{scope}_market", write_raw(_demand(_raw_scope(spark, sf, scope)), f"{base}/market-{scope}"), "replace-scope")
     airports = write_raw(d.bronze_airports(spark, sf), f"{base}/airports", header=False)
     ingest.load(spark, root, "airports", airports, "replace-scope")
     for source, rows in (("l_aircraft_type", d.lookup_aircraft(spark, sf)), ("l_service_class", d.lookup_class(spark))):
         ingest.load(spark, root, source, write_raw(rows, f"{base}/{source}"))
+    drop_work(spark, base)
+    return root
+
+
+def _demand(rows: DataFrame) -> DataFrame:
+    return rows.select(*[c for c in rows.columns if c in MARKET_COLUMNS])
+
+
+def _warehouse(spark: SparkSession, sf: str) -> str:
+    """The whole warehouse rebuilt from landed files."""
+    root = landed(spark, sf)
     refresh.refresh_all(spark, root, d.STAND_IN_FAMILIES)
     return root
 
@@ -191,21 +212,46 @@ def rejected_rows(spark: SparkSession, sf: str) -> DataFrame:
     return refresh.read_table(spark, _warehouse(spark, sf), "meta.rejected_rows")
 
 
+RELOADED_YEAR = "1997"
+
+
+def refresh_changed(spark: SparkSession, sf: str) -> DataFrame:
+    """All ten tables after a year of one scope, cut to its first half, was loaded again and only that year rebuilt."""
+    root, base = _warehouse(spark, sf), work_dir(spark, "raw")
+    half = _raw_scope(spark, sf, "domestic").filter((F.col("year") == RELOADED_YEAR) & (F.length("month") == 1) & (F.col("month") <= "6"))
+    ingest.load(spark, root, "domestic_segment", write_raw(half, f"{base}/segment"))
+    ingest.load(spark, root, "domestic_market", write_raw(_demand(half), f"{base}/market"))
+    years = refresh.refresh_changed(spark, root)
+    if years != {t: [int(RELOADED_YEAR)] for t in refresh.FACTS}:
+        raise AssertionError(f"rebuilt {years}")
+    return _summed({name: refresh.read_table(spark, root, name) for name in TABLES})
+
+
+TABLES = (*refresh.BY_MONTH, "silver.dim_airport", "silver.dim_carrier_family", "meta.rejected_rows")
+
+
+def _summed(tables: dict[str, DataFrame]) -> DataFrame:
+    """Rows, months, passengers and seats of each table, as far as it has them."""
+    none = F.lit(None).cast("long")
+    frames = []
+    for name, t in tables.items():
+        total = lambda c, t=t: F.sum(c).cast("long") if c in t.columns else none
+        months = F.count_distinct("flight_month") if "flight_month" in t.columns else none
+        frames.append(t.agg(F.lit(name).alias("name"), F.count(F.lit(1)).alias("rows"), months.alias("months"), total("passengers").alias("passengers"), total("seats").alias("seats")))
+    return reduce(DataFrame.unionByName, frames)
+
+
 def export_sorted(spark: SparkSession, sf: str) -> DataFrame:
-    """The rebuilt warehouse exported in sorted files, named as views and queried by SQL text."""
+    """The rebuilt warehouse exported in sorted files: what SQL finds in the six views, and what the manifest says was written."""
     root, out = _warehouse(spark, sf), work_dir(spark, "export")
     refresh.export_sorted(spark, root, out)
     refresh.register_views(spark, out)
-    return refresh.q(
-        spark,
-        """SELECT r.flight_month, coalesce(f.family, r.carrier) AS family, r.origin, r.dest,
-                  sum(r.seats) AS seats, sum(r.passengers) AS passengers, max(r.dest_city) AS dest_city
-           FROM gold.route_carrier_month r LEFT JOIN silver.dim_carrier_family f ON f.carrier = r.carrier
-           WHERE array_contains(:hubs, r.origin) AND r.flight_month > :since
-           GROUP BY 1, 2, 3, 4""",
-        hubs=["N01", "N07", "N24"],
-        since=pd.Timestamp("1998-01-01").date(),
+    found = " UNION ALL ".join(
+        f"SELECT '{name}' AS name, count(*) AS rows, count(DISTINCT {', '.join(keys)}) AS grains, min({keys[0]}) AS lowest, max({keys[0]}) AS highest FROM {name}"
+        for name, keys in refresh.EXPORT_ORDER.items()
     )
+    written = refresh.read_table(spark, out, "meta.export_manifest").groupBy("name")
+    return refresh.q(spark, found).join(written.agg(F.sum("rows").alias("written")), "name")
 
 
 def load_lookup(spark: SparkSession, sf: str) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from skyledger.checks import landing
 from skyledger.functions import semantics as s
-from skyledger.operators.rolling import roll12
+from skyledger.operators.rolling import roll12, roll_months
 from skyledger.plans import churn, destinations, families, gold, hubs, routes, silver
 from skyledger.session import work_dir
 from skyledger.sources import driver_tables as d
@@ -99,6 +99,7 @@ QUERIES: dict[str, Query] = {
     "period_range": landing.period_range,
     "refresh_all": landing.refresh_all,
     "refresh_market": landing.refresh_market,
+    "refresh_changed": landing.refresh_changed,
     "rejected_rows": landing.rejected_rows,
     "export_sorted": landing.export_sorted,
     # silver
@@ -130,6 +131,9 @@ QUERIES: dict[str, Query] = {
         ),
         "load_factor_pct_12m",
     ),
+    "roll_months": lambda spark, sf: roll_months(_acm(spark, sf), ["carrier", "airport"], "seats", least=6).select(
+        "flight_month", "carrier", "airport", "seats", "seats_12mo"
+    ),
     # routes
     "route_monthly": _monthly,
     "route_monthly_carriers": lambda spark, sf: routes.route_monthly(_rcm(spark, sf), both=False),

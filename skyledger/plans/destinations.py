@@ -23,15 +23,16 @@ def select_routes(routes: DataFrame, start=None, end=None, carriers: list[str] |
 
 
 def _ranked(rows: DataFrame, per: list[str], *ties: str) -> DataFrame:
-    order = Window.partitionBy(*per).orderBy(F.desc_nulls_last("seats"), *ties) if per else None
+    # Without a key all rows are ranked together: they are airports, of which there are few.
+    order = Window.partitionBy(*(per or [F.lit(0)])).orderBy(F.desc_nulls_last("seats"), *ties)
     return rows.withColumn("rank", F.row_number().over(order))
 
 
 def airport_picker(routes: DataFrame, given_origin: bool = False) -> DataFrame:
-    """Origins with their city and total seats, or with ``given_origin`` the dests of every origin by rank."""
+    """Origins with their city by rank of their total seats, or with ``given_origin`` the dests of every origin."""
     keys, city = (["origin", "dest"], "dest_city") if given_origin else (["origin"], "origin_city")
     picked = routes.groupBy(*keys).agg(F.max(city).alias("city"), F.sum("seats").alias("seats"))
-    return _ranked(picked, ["origin"], "dest") if given_origin else picked
+    return _ranked(picked, ["origin"], "dest") if given_origin else _ranked(picked, [], "origin")
 
 
 def carrier_picker(routes: DataFrame, per: tuple[str, ...] = ("origin",)) -> DataFrame:

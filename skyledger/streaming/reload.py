@@ -6,7 +6,7 @@ from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 
-from skyledger.sources.ingest import load
+from skyledger.sources.ingest import load, settle_token
 
 FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
@@ -15,9 +15,10 @@ def reload_new_files(
     spark: SparkSession, root: str, source: str, drop_dir: str, checkpoint: str, mode: str = "replace-years",
     files_per_batch: int = 1000,
 ) -> None:
-    """Load every file not seen before and stop.
+    """Load every file not seen before and stop, each exactly once in every mode.
 
-    The stream only carries file names; a replayed batch replaces the same years again.
+    The stream only carries file names. The log holds the number of each micro-batch; one that is replayed is skipped if its
+    load was closed, and if it broke off in between, what it had put in place is taken out first.
     """
     arrivals = (
         spark.readStream.format("binaryFile")
@@ -27,11 +28,14 @@ def reload_new_files(
         .select("path", "modificationTime")
     )
 
-    def land(batch: DataFrame, _: int) -> None:
+    def land(batch: DataFrame, number: int) -> None:
+        spark, token = batch.sparkSession, f"{checkpoint}#{number}"
+        if settle_token(spark, root, token):
+            return
         # In the order of arrival, so that a corrected file replaces the one before it, whatever their names.
         paths = [unquote(r.path) for r in batch.orderBy("modificationTime", "path").collect()]
         if paths:
-            load(batch.sparkSession, root, source, paths, mode, keep_going=True)
+            load(spark, root, source, paths, mode, keep_going=True, token=token)
 
     stream = (
         arrivals.writeStream.foreachBatch(land)
