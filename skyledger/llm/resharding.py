@@ -179,7 +179,7 @@ def slotted(placed: DataFrame, *, doc_id: str = "doc_id", out: str = "placed") -
     return ranked(rows, ["shard"], F.xxhash64(F.lit("slot"), F.col("id"), F.col("crc"), F.col("row")), "slot", buckets_for(rows.count()))
 
 
-def rewrite(placed: DataFrame, path: str, *, out: str = "placed", shard: str = "shard", files: int = 16) -> list[int]:
+def rewrite(placed: DataFrame, path: str, *, out: str = "placed", shard: str = "shard") -> list[int]:
     """Bring the files below ``path`` (``shard=N`` folders) to the plan that ``reshard`` made, and return the shards written.
 
     A shard is written again if it gains or loses rows, or has no folder yet; the others stay untouched. All of them are
@@ -199,8 +199,8 @@ def rewrite(placed: DataFrame, path: str, *, out: str = "placed", shard: str = "
     affected = {x for r in moves if r.old != r["shard"] for x in (r.old, r["shard"])} | (full - there) | (there - full)
     draft = f"_next-{uuid.uuid4().hex[:12]}"
     rows = placed.withColumn(shard, F.col(f"{out}.shard")).where(F.col(shard).isin(sorted(affected)))
-    spread = F.pmod(F.xxhash64(F.lit("file"), F.col(f"{out}.row")), F.lit(files))
-    rows.repartition(F.col(shard), spread).drop(out).write.partitionBy(shard).parquet(str(folder(draft)))
+    # The rebalance splits a shard over as many tasks as its bytes ask for.
+    rows.drop(out).hint("rebalance", shard).write.partitionBy(shard).parquet(str(folder(draft)))
     for n in sorted(affected):
         name = f"{shard}={n}"
         fs.delete(folder(name), True)
