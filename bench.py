@@ -2,8 +2,8 @@
 
 Tables are read from BENCH_SF_DIR on local[BENCH_CPUS]. Each has one file with one row group, which one task would read whole; they
 are laid out in several files first, as tables of any size are, outside the timing. Every query runs from these; nothing is
-cached between queries, only the JVM is warmed up once on the smallest tables. ``refresh_landed`` is the rebuild of the
-warehouse alone, from files landed outside the timing; ``refresh_all`` lands them too.
+cached between queries, only the JVM is warmed up once on the smallest tables. ``refresh_landed_sec`` is the rebuild of the
+warehouse alone, from files landed outside the timing, and not part of the total; ``refresh_all`` lands them too.
 """
 
 from __future__ import annotations
@@ -84,7 +84,7 @@ def main() -> None:
     root = landing.landed(spark, tables)
     start = time.time()
     refresh.refresh_all(spark, root, driver_tables.STAND_IN_FAMILIES)
-    seconds["refresh_landed"] = round(time.time() - start, 3)
+    rebuilt = round(time.time() - start, 3)
     print(
         json.dumps(
             {
@@ -94,6 +94,7 @@ def main() -> None:
                 "queries": seconds,
                 "sf": sf_dir.rstrip("/").rsplit("sf", 1)[-1],
                 "cpus": int(cpus),
+                "refresh_landed_sec": rebuilt,
             }
         )
     )

@@ -17,6 +17,8 @@ SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.parquet.compression.codec": "zstd",
+    # Frames that cut lineage are written below spark.checkpoint.dir; their files go when nothing refers to them any more.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # Wide parsing stages exceed what HotSpot compiles; past its limit generated code runs interpreted.
     "spark.sql.codegen.hugeMethodLimit": "8000",
 }
