@@ -19,6 +19,8 @@ as null; repeated rows are scanned each; other columns do not matter. Places cou
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -99,15 +101,6 @@ def findings(docs: DataFrame, words: list[str], *, doc_id: str = "doc_id", text:
     )
 
 
-def _shaped(kind: Column, shapes: list[tuple[str, Column, str]]) -> Column:
-    """(before, value, after) of one of the shapes."""
-    out = None
-    for k, (before, value, after) in enumerate(shapes):
-        one = F.struct(F.lit(before).alias("before"), value.alias("value"), F.lit(after).alias("after"))
-        out = F.when(kind == k, one) if out is None else out.when(kind == k, one)
-    return out
-
-
 def planted(docs: DataFrame, words: list[str], n: int = PLANTED, *, text: str = "text") -> DataFrame:
     """(id, text, start, label): ``n`` stretches of the documents with a made-up secret (1) or look-alike (0) put in.
 
@@ -123,31 +116,36 @@ def planted(docs: DataFrame, words: list[str], n: int = PLANTED, *, text: str =
     hexed = lambda salt, size: F.substring(F.concat(F.sha2(F.concat(F.lit(salt), i), 256), F.sha2(F.concat(i, F.lit(salt)), 256)), 1, size)
     mixed = lambda salt, size: F.substring(F.regexp_replace(F.base64(F.unhex(hexed(salt, 120))), "[+/=]", "x"), 1, size)
     pick = lambda salt, size: F.pmod(F.xxhash64(F.lit(salt), "id"), F.lit(size)).cast("int")
-    listed = words or ["word"]
-    word = lambda salt: F.element_at(F.array(*map(F.lit, listed)), pick(salt, len(listed)) + 1)
-    telling = ["password", "API_KEY", "token", "db_passwd", "client_secret", "auth_token", "accessKey", "credential"]
-    signs = F.element_at(F.array(*[F.lit(x) for x in "!%&#$*"]), pick("sign", 6) + 1)
-    short = F.concat(F.substring(mixed("a", 9), 1, pick("size", 4) + 3), pick("digit", 10).cast("string"), F.when(pick("signed", 2) == 0, signs).otherwise(""), F.substring(mixed("b", 9), 1, pick("rest", 4) + 1))
-    hidden = F.element_at(F.array(mixed("c", 20), mixed("c", 40), hexed("c", 32), hexed("c", 40), F.base64(F.unhex(hexed("c", 40))), F.concat(mixed("d", 12), F.lit("."), mixed("e", 20))), pick("form", 6) + 1)
-    harmless = ["YOUR_TOKEN_GOES_HERE", "your-password-here", "changeme", "xxxxxxxxxxxxxxxx", "placeholder_value_only", "none", "required", "true"]
-    plain = F.element_at(F.array(*map(F.lit, harmless), word("w"), F.concat_ws("-", word("x"), word("y"), word("z"))), pick("plain", len(harmless) + 2) + 1)
+    listed = F.split(F.lit(" ".join(words or ["word"])), " ")
+    word = lambda salt: F.get(listed, pick(salt, len(words) or 1))
+    signs = F.substring(F.lit("!%&#$*"), pick("sign", 6) + 1, F.lit(1))
+    short = F.concat(F.substring(mixed("a", 9), F.lit(1), pick("size", 4) + 3), pick("digit", 10).cast("string"), F.when(pick("signed", 2) == 0, signs).otherwise(""), F.substring(mixed("b", 9), F.lit(1), pick("rest", 4) + 1))
+    hidden = F.get(F.array(mixed("c", 20), mixed("c", 40), hexed("c", 32), hexed("c", 40), F.base64(F.unhex(hexed("c", 40))), F.concat(mixed("d", 12), F.lit("."), mixed("e", 20))), pick("form", 6))
+    harmless = "YOUR_TOKEN_GOES_HERE your-password-here changeme xxxxxxxxxxxxxxxx placeholder_value_only none required true".split()
+    plain = F.get(F.array(*map(F.lit, harmless), word("w"), F.concat_ws("-", word("x"), word("y"), word("z"))), pick("plain", len(harmless) + 2))
+    values = {
+        "hidden": hidden, "short": short, "plain": plain, "key": mixed("u", 20), "bearer": mixed("v", 36), "hex32": hexed("g", 32), "hex40": hexed("g", 40),
+        "hex64": hexed("g", 64), "uuid": F.concat_ws("-", *[hexed(salt, size) for salt, size in zip("hijkl", (8, 4, 4, 4, 12))]), "file": mixed("o", 24),
+        "compound": F.concat(F.lit("extra"), word("p"), word("q"), word("r"), word("s")), "number": F.translate(hexed("t", 24), "abcdef", "012345"),
+        "time": F.lit("2024-01-01T00:00:00Z"),
+    }
     secrets, likes = [], []
     for before, after in ((' = "', '"'), (": ", " "), ("=", "\n"), ("='", "'"), ('": "', '"')):
-        for name in telling:
-            secrets += [(name + before, hidden, after), (name + before, short, after)]
-            likes += [(name + before, plain, after)]
-    secrets += [("see https://host/x?token=", mixed("u", 20), "&page=2"), ("Authorization: Bearer ", mixed("v", 36), "\n")] * 8
-    digest = [("commit ", 40), ("checksum: ", 32), ("sha256:", 64), ("md5 = ", 32), ("revision ", 40), ("see ", 40), ("digest is ", 64)]
-    likes += [(before, hexed("g", size), " ") for before, size in digest] * 3
-    uuid = F.concat_ws("-", hexed("h", 8), hexed("i", 4), hexed("j", 4), hexed("k", 4), hexed("l", 12))
-    likes += [("id: ", uuid, " "), ("uuid=", uuid, " "), ("the path /usr/share/", hexed("m", 40), "/x.txt"), ("image ", hexed("n", 32), ".png"), ("from https://host/files/", mixed("o", 24), "/page")] * 4
-    likes += [("an ", F.concat(F.lit("extra"), word("p"), word("q"), word("r"), word("s")), " here"), ("number ", F.translate(hexed("t", 24), "abcdef", "012345"), " "), ("token_expiry = ", F.lit("2024-01-01T00:00:00Z"), " ")] * 4
+        for name in "password API_KEY token db_passwd client_secret auth_token accessKey credential".split():
+            secrets += [(name + before, "hidden", after), (name + before, "short", after)]
+            likes += [(name + before, "plain", after)]
+    secrets += [("see https://host/x?token=", "key", "&page=2"), ("Authorization: Bearer ", "bearer", "\n")] * 8
+    likes += [("commit ", "hex40", " "), ("checksum: ", "hex32", " "), ("sha256:", "hex64", " "), ("md5 = ", "hex32", " "), ("revision ", "hex40", " "), ("see ", "hex40", " "), ("digest is ", "hex64", " ")] * 3
+    likes += [("id: ", "uuid", " "), ("uuid=", "uuid", " "), ("the path /usr/share/", "hex40", "/x.txt"), ("image ", "hex32", ".png"), ("from https://host/files/", "file", "/page")] * 4
+    likes += [("an ", "compound", " here"), ("number ", "number", " "), ("token_expiry = ", "time", " ")] * 4
+    shapes = spark.createDataFrame([(label, k, *x) for label, every in ((1, secrets), (0, likes)) for k, x in enumerate(every)], "label int, shape int, before string, kind string, after string")
     label = pick("label", 2)
-    shape = F.when(label == 1, _shaped(pick("shape", len(secrets)), secrets)).otherwise(_shaped(pick("shape", len(likes)), likes))
-    made = spark.range(n).select("id", label.alias("label"), shape.alias("s"), F.pmod("id", F.lit(max(1, len(rows)))).cast("int").alias("at"))
-    head = F.concat("context", F.lit(" "), "s.before")
-    return made.join(F.broadcast(contexts), "at").select(
-        "id", F.concat(head, "s.value", "s.after").alias("text"), F.length(head).cast("long").alias("start"), F.col("label").cast("double").alias("label")
+    shape = F.pmod(F.xxhash64(F.lit("shape"), "id"), F.when(label == 1, len(secrets)).otherwise(len(likes))).cast("int")
+    made = spark.range(n).select("id", label.alias("label"), shape.alias("shape"), F.pmod("id", F.lit(max(1, len(rows)))).cast("int").alias("at"))
+    value = reduce(lambda out, x: out.when(F.col("kind") == x[0], x[1]), values.items(), F.when(F.lit(False), F.lit("")))
+    head = F.concat("context", F.lit(" "), "before")
+    return made.join(F.broadcast(shapes), ["label", "shape"]).join(F.broadcast(contexts), "at").select(
+        "id", F.concat(head, value, "after").alias("text"), F.length(head).cast("long").alias("start"), F.col("label").cast("double").alias("label")
     )
 
 
