@@ -84,9 +84,10 @@ def read_text_csv(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def decode_fallback(spark: SparkSession, sf: str) -> DataFrame:
-    """Files with accented names in a one-byte encoding, recognised and decoded."""
+    """Files with accents, euro signs and dashes in a one-byte encoding (Windows-1252), recognised and decoded."""
     base = work_dir(spark, "raw")
-    rows = d.bronze_segment(spark, sf).withColumn("origin_city_name", F.concat(F.lit("São "), "origin_city_name"))
+    # Written as ISO-8859-1, the two control characters become the bytes 80 and 96.
+    rows = d.bronze_segment(spark, sf).withColumn("origin_city_name", F.concat(F.lit("São \x80\x96 "), "origin_city_name"))
     path = write_raw(rows.withColumnRenamed("_data_scope", "region"), f"{base}/latin", encoding="ISO-8859-1")
     return _landed(_read_folder(spark, path).withColumn("_data_scope", F.col("region")))
 
@@ -113,6 +114,24 @@ def expand_archives(spark: SparkSession, sf: str) -> DataFrame:
     return _landed(ingest.read_bronze(spark, root, "segment"))
 
 
+def ragged_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Files with line breaks, quotes and commas inside quoted cells, read in splits."""
+    base = work_dir(spark, "raw")
+    broken = F.when(F.col("month") <= "6", F.concat(F.lit('Port\n"of", '), "origin_city_name")).otherwise(F.col("origin_city_name"))
+    rows = d.bronze_segment(spark, sf).withColumn("origin_city_name", broken)
+    path = write_raw(rows.withColumnRenamed("_data_scope", "region"), f"{base}/ragged")
+    return _landed(_read_folder(spark, path).withColumn("_data_scope", F.col("region")))
+
+
+def backfill(spark: SparkSession, sf: str) -> DataFrame:
+    """Both scopes in one call, next to files of another table and a path that matches nothing: what the log says of each."""
+    root, base = work_dir(spark, "warehouse"), work_dir(spark, "raw")
+    raw = _raw_files(spark, sf)
+    alien = write_raw(d.lookup_aircraft(spark, sf), f"{base}/alien")
+    log = ingest.backfill(spark, root, {"domestic_segment": [raw["domestic"], alien, f"{base}/none*"], "international_segment": [raw["international"]]})
+    return log.groupBy("data_scope", "status").agg(F.count(F.lit(1)).alias("batches"), F.sum("row_count").alias("rows"))
+
+
 def _made(spark: SparkSession, path: str) -> str:
     hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
     hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(hadoop)

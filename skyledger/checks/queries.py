@@ -90,6 +90,8 @@ QUERIES: dict[str, Query] = {
     # landing
     "read_text_csv": landing.read_text_csv,
     "decode_fallback": landing.decode_fallback,
+    "ragged_rows": landing.ragged_rows,
+    "backfill": landing.backfill,
     "expand_archives": landing.expand_archives,
     "load_replace_years": landing.load_replace_years,
     "load_replace_scope": landing.load_replace_scope,
