@@ -129,3 +129,16 @@ def test_load_factor_without_seats_is_null(spark):
         df = df.withColumn(c, F.lit(None).cast("double"))
     assert rows(gold.carrier_month(df), "load_factor_pct", "routes_served") == [(None, 1)]
     assert rows(gold.airport_carrier_month(df), "pct_of_carrier_system") == [(None,)]
+
+
+def test_facts_are_not_interpreted_in_sessions_of_others(spark):
+    other = spark.newSession()
+    other.conf.set("spark.sql.codegen.hugeMethodLimit", "65535")
+    assert rows(fact(other, bronze(other, {})), "seats") == [(100,)]
+    assert other.conf.get("spark.sql.codegen.hugeMethodLimit") == "8000"
+
+
+def test_short_and_long_numbers_that_are_not_held(spark):
+    cells = ["1.123456", "1.1234567", "12345678", "1" * 22, "1" * 23, "-1.10000000", "1,23456789", None]
+    found = silver.unheld_numbers(bronze(spark, *[{"freight": c} for c in cells]), ["freight", "mail"])
+    assert rows(found, "field", "value", "rows") == [("freight", "1.1234567", 1), ("freight", "1" * 23, 1)]
