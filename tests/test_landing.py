@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from skyledger.checks import landing
 from skyledger.sources import ingest
+from skyledger.sources.schemas import SEGMENT_COLUMNS
 from skyledger.sources.versions import Run
 
 SF = "/root/testdata/sf0.001"
@@ -19,7 +20,8 @@ def written(tmp_path, name, *lines):
 
 
 def test_landed_rows_are_not_sorted_by_group(spark):
-    plan = landing._landed(landing.d.bronze_segment(spark, SF))._jdf.queryExecution().toString()
+    whole = spark.createDataFrame([], ", ".join(f"{c} string" for c in (*SEGMENT_COLUMNS, "_data_scope")))
+    plan = landing._landed(whole)._jdf.queryExecution().toString()
     assert "ObjectHashAggregate" in plan
     assert "SortAggregate" not in plan
 
