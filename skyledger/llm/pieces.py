@@ -41,6 +41,12 @@ KEPT = 1 << 18
 LONG = 48
 SPACE = "▁"
 NEVER = np.iinfo(np.int64).max
+SPOT_BITS = 21
+
+
+def _spot(key: np.ndarray) -> np.ndarray:
+    """Place of each pair in a table of 2**SPOT_BITS."""
+    return (key.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - SPOT_BITS)
 
 
 class Vocabulary:
@@ -73,6 +79,8 @@ class Vocabulary:
             if p[:k] in symbols and p[k:] in symbols
         )
         self.pairs, self.ranks, self.formed = (np.array(x, np.int64) for x in zip(*pairs))
+        self.maybe = np.zeros(1 << SPOT_BITS, bool)
+        self.maybe[_spot(self.pairs)] = True
         within = {p[k : k + 2] for p in score for k in range(len(p) - 1)}
         if any(x[1] == SPACE and x[0] != SPACE for x in within):
             raise ValueError("a piece has a space sign after another character")
@@ -84,9 +92,12 @@ class Vocabulary:
     def ranked(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Rank of each pair (``NEVER`` if it forms no piece) and the symbol formed."""
         key = left.astype(np.int64) << 32 | right
-        spot = np.minimum(np.searchsorted(self.pairs, key), len(self.pairs) - 1)
-        known = self.pairs[spot] == key
-        return np.where(known, self.ranks[spot], NEVER), self.formed[spot]
+        rank, formed = np.full(len(key), NEVER), np.zeros(len(key), np.int64)
+        likely = np.flatnonzero(self.maybe[_spot(key)])  # most pairs that form no piece are not searched for
+        spot = np.minimum(np.searchsorted(self.pairs, key[likely]), len(self.pairs) - 1)
+        known = self.pairs[spot] == key[likely]
+        rank[likely[known]], formed[likely[known]] = self.ranks[spot[known]], self.formed[spot[known]]
+        return rank, formed
 
 
 def merged(v: Vocabulary, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -219,15 +230,18 @@ class Encoder:
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, one after another, each with the end id, and where each text's begin (with the end)."""
         cut = [self.unit.findall(self.sp.normalize(t).decode()) if t else [] for t in texts]
-        distinct = dict.fromkeys(itertools.chain.from_iterable(cut))
-        new = [u for u in distinct if u not in self.index]
+        per_text = np.fromiter(map(len, cut), np.int64, len(cut))
+        met = list(itertools.chain.from_iterable(cut))
+        units = np.fromiter(map(self.index.get, met, itertools.repeat(-1)), np.int64, len(met))
+        missing = np.flatnonzero(units < 0)
+        unknown = [met[i] for i in missing.tolist()]
+        new = list(dict.fromkeys(unknown))
         if len(self.index) + len(new) > KEPT:
             self.forget()
-            new = list(distinct)
+            missing, unknown, new = slice(None), met, list(dict.fromkeys(met))
         if new:
             self.learn(new)
-        per_text = np.fromiter(map(len, cut), np.int64, len(cut))
-        units = np.fromiter(map(self.index.__getitem__, itertools.chain.from_iterable(cut)), np.int64, int(per_text.sum()))
+            units[missing] = np.fromiter(map(self.index.__getitem__, unknown), np.int64, len(unknown))
         sizes = np.diff(self.edges)[units]
         ends = np.concatenate([[0], np.cumsum(sizes)])
         where = np.arange(ends[-1]) + np.repeat(self.edges[units] - ends[:-1], sizes)

@@ -206,3 +206,23 @@ def test_resampling_of_edges(spark):
     assert out.columns == [*docs.columns, "drawn"] and out.count() == docs.count()
     assert all((r.drawn.rank is not None) == (r.drawn.n_words >= 20) for r in out.collect())
     assert resample.resampled(empty, docs, key="doc_id").count() == 0
+
+
+def test_pairs_that_form_no_piece_are_told_without_a_search(monkeypatch):
+    import numpy as np
+    import public_tokenizers
+
+    from skyledger.llm import pieces as p
+
+    with open(public_tokenizers.path("piece_bpe_32k.model"), "rb") as f:
+        v = p.Vocabulary(f.read())
+    rng = np.random.default_rng(1)
+    none = rng.integers(0, len(v.ids), (2, 20_000))
+    left, right = np.concatenate([v.pairs >> 32, none[0]]), np.concatenate([v.pairs & 0xFFFFFFFF, none[1]])
+    formed = dict(zip(v.pairs.tolist(), zip(v.ranks.tolist(), v.formed.tolist())))
+    searched, search = [], np.searchsorted
+    monkeypatch.setattr(p.np, "searchsorted", lambda a, x, *rest: searched.append(len(x)) or search(a, x, *rest))
+    rank, new = v.ranked(left, right)
+    for key, r, n in zip((left << 32 | right).tolist(), rank.tolist(), new.tolist()):
+        assert (r, n) == formed.get(key, (p.NEVER, 0))
+    assert sum(searched) < len(v.pairs) + 5_000
