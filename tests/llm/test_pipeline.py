@@ -59,3 +59,18 @@ def test_pipeline_edges(spark, tmp_path):
             stage(spark, docs, SF).write.parquet(path)
             docs = spark.read.parquet(path)
         assert docs.count() <= 3 * rows and {"shard", "old_shard", "_shard"} & set(docs.columns)
+
+
+def test_the_driver_gives_its_memory_back_after_each_stage(spark, monkeypatch):
+    import corpus_pipeline
+    from skyledger.llm import shared
+
+    given = []
+    monkeypatch.setattr(shared, "give_back", lambda: given.append("memory"))
+    shared.released(spark)
+    assert given == ["memory"]
+    plain = lambda spark, docs, sf_dir: docs
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [("a", plain), ("b", plain), ("c", plain)])
+    out = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
+    assert out.count() == spark.read.parquet("/root/testdata/sf0.001/documents.parquet").count()
+    assert given == ["memory"] * 3
