@@ -6,7 +6,7 @@ from frames import rows
 from pyspark.sql import functions as F
 
 from skyledger.checks import landing
-from skyledger.sources import ingest
+from skyledger.sources import files, ingest
 from skyledger.sources.schemas import SEGMENT_COLUMNS
 from skyledger.sources.versions import Run
 
@@ -73,3 +73,30 @@ def test_ragged_rows_of_an_archive(spark, tmp_path):
     assert rows(ingest.read_bronze(spark, root, "segment"), "year", "seats", "origin") == [
         ("1999", "1,2", 'A "B"'), ("2000", None, None), ("2001", None, None),
     ]
+
+
+@pytest.mark.parametrize(
+    ("lines", "scans", "shape"),
+    [
+        ([b"1,a", b'2,"b"'], 1, {}),
+        ([b"1,a", "2,Málaga".encode("cp1252")], 1, {"multiline": False, "encoding": "windows-1252"}),
+        ([b'1,"a', "Málaga €".encode()], 1, {"multiline": True, "encoding": "UTF-8"}),
+        (["1,á".encode(), "2,á".encode("cp1252")], 2, {"multiline": False, "encoding": "windows-1252"}),
+        (["1,Á".encode(), "2,á".encode("cp1252")], 2, {"multiline": False, "encoding": "windows-1252", "problem": True}),
+        ([b"1,\x81\xff"], 1, {"multiline": False, "encoding": "windows-1252", "problem": True}),
+    ],
+)
+def test_lines_are_scanned_again_only_where_encodings_are_mixed(spark, tmp_path, monkeypatch, lines, scans, shape):
+    path = tmp_path / "a.csv"
+    path.write_bytes(b"\n".join([b"YEAR,ORIGIN_CITY_NAME", *lines]) + b"\n")
+    read, of = [], files._lines
+    monkeypatch.setattr(files, "_lines", lambda *a: read.append(1) or of(*a))
+    (found,) = files._text_shapes(spark, [f"file://{path}"]).values() or [{}]
+    assert {k: v if k != "problem" else bool(v) for k, v in found.items()} == shape
+    assert len(read) == scans
+
+
+def test_codes_need_no_formatter_in_every_row(spark):
+    cells = landing.d.bronze_segment(spark, SF)
+    assert "format_string" not in cells._jdf.queryExecution().optimizedPlan().toString()
+    assert {len(r.origin) for r in cells.select("origin").distinct().collect()} == {3}
