@@ -100,3 +100,10 @@ def test_codes_need_no_formatter_in_every_row(spark):
     cells = landing.d.bronze_segment(spark, SF)
     assert "format_string" not in cells._jdf.queryExecution().optimizedPlan().toString()
     assert {len(r.origin) for r in cells.select("origin").distinct().collect()} == {3}
+
+
+def test_ascii_cells_are_not_translated(spark):
+    cells = spark.createDataFrame([("plain",), ("\x80 5",), ("São",), ("",), (None,)], "c string")
+    decoded = files._from_1252(F.col("c"))
+    assert [r[0] for r in cells.select(decoded).collect()] == ["plain", "€ 5", "São", "", None]
+    assert "CASE WHEN" in str(decoded._jc.toString())
