@@ -1,3 +1,4 @@
+import gzip
 import pathlib
 import zipfile
 
@@ -6,6 +7,8 @@ from frames import rows
 from pyspark.sql import functions as F
 
 from skyledger.checks import landing
+from skyledger.plans import refresh
+from skyledger.session import shuffles_freed
 from skyledger.sources import files, ingest
 from skyledger.sources.schemas import SEGMENT_COLUMNS
 from skyledger.sources.versions import Run
@@ -107,3 +110,62 @@ def test_ascii_cells_are_not_translated(spark):
     decoded = files._from_1252(F.col("c"))
     assert [r[0] for r in cells.select(decoded).collect()] == ["plain", "€ 5", "São", "", None]
     assert "CASE WHEN" in str(decoded._jc.toString())
+
+
+def test_compressed_files_are_loaded_like_plain_ones(spark, tmp_path):
+    (tmp_path / "a.csv.gz").write_bytes(gzip.compress(b'Year,Seats,Origin\n1999,"1,2",AAA\n2000,3,"B\nB"\n'))
+    (tmp_path / "b.csv").write_text("Origin,Year\nCCC,2001\n")
+    root = str(tmp_path / "root")
+    ingest.load(spark, root, "domestic_segment", [str(tmp_path / "a.csv.gz"), str(tmp_path / "b.csv")])
+    assert rows(ingest.read_bronze(spark, root, "segment"), "year", "seats", "origin", "_source_file") == [
+        ("1999", "1,2", "AAA", "a.csv.gz"), ("2000", "3", "B\nB", "a.csv.gz"), ("2001", None, "CCC", "b.csv"),
+    ]
+
+
+def test_raw_files_of_a_table_go_before_the_next_are_made(spark, monkeypatch):
+    seen, load = [], ingest.load
+
+    def looked_at(spark, root, source, path, *mode):
+        base = pathlib.Path(path.split("/raw-")[0], "raw-" + path.split("/raw-")[1].split("/")[0])
+        left = {"/".join(f.relative_to(base).parts[:-1]) for f in base.rglob("part-*")}
+        seen.append((source, sorted(left)))
+        return load(spark, root, source, path, *mode)
+
+    monkeypatch.setattr(ingest, "load", looked_at)
+    landing.landed(spark, SF)
+    both = [f"scope={s}" for s in landing.SCOPES]
+    assert seen[:4] == [
+        ("domestic_segment", ["rows", *(f"segment/{s}" for s in both)]), ("international_segment", ["rows", f"segment/{both[1]}"]),
+        ("domestic_market", [f"market/{s}" for s in both]), ("international_market", [f"market/{both[1]}"]),
+    ]
+
+
+def _shuffles(spark):
+    return spark._jvm.org.apache.spark.SparkEnv.get().mapOutputTracker().shuffleStatuses().size()
+
+
+def test_shuffle_files_go_with_their_statement(spark, tmp_path):
+    counted = spark.range(100).groupBy((F.col("id") % 7).alias("k")).count()
+    before = _shuffles(spark)
+    with shuffles_freed(spark):
+        counted.write.parquet(str(tmp_path / "a"))
+        assert _shuffles(spark) <= before
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+
+
+def test_a_refresh_leaves_no_shuffle_files_and_groups_slice_by_slice(spark, monkeypatch):
+    root, of = landing.landed(spark, SF), ingest.read_sliced
+    kept, seen = {}, []
+    monkeypatch.setattr(refresh, "read_sliced", lambda *a: seen.append(of(*a)) or seen[-1])
+    for limit in (ingest.SLICE_BYTES, 0):
+        monkeypatch.setattr(ingest, "SLICE_BYTES", limit)
+        before = _shuffles(spark)
+        refresh.refresh_all(spark, root, landing.d.STAND_IN_FAMILIES)
+        assert _shuffles(spark) <= before
+        for name in refresh.BY_MONTH:
+            table = refresh.read_table(spark, root, name)
+            found = rows(table.groupBy().agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64(*table.columns).cast("decimal(38,0)")).alias("h")), "n", "h")
+            assert kept.setdefault(name, found) == found
+            assert found[0][0] > 0
+    assert [len(slices) for _, slices in seen[:2]] == [1, 1]
+    assert all(len(slices) == len(ingest.current(spark, root)[f"bronze.{t}"]["parts"]) > 2 for t, (_, slices) in zip(refresh.FACTS, seen[2:]))
